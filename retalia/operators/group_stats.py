@@ -1,0 +1,129 @@
+"""Per-group statistics on rows whose groups are few and very uneven.
+
+A scope such as ``GLOBAL`` holds a third of the rows or more, so neither a window over
+the scope nor a join that is hashed on it alone can be used: both put the scope into
+one task.  Statistics are therefore aggregated (with partial aggregation), and brought
+back by a join on scope *and* salt.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+SALES_DE_GRUPO = 64  # salts per group
+
+
+def adjuntar_por_grupo(
+    filas: DataFrame, stats: DataFrame, grupo: list[str], repartir_por: str
+) -> DataFrame:
+    """Add the columns of ``stats`` (one row per group) to every row of its group.
+
+    Group columns match null-safe.  Rows of a group spread over ``SALES_DE_GRUPO``
+    join keys by the hash of ``repartir_por``; the few rows of ``stats`` are repeated
+    for each.  Whether they are broadcast is left to their measured size.
+    """
+    if not grupo:
+        return filas.crossJoin(F.broadcast(stats))  # aggregate without keys: one row
+    copias = stats.select(
+        *[F.col(g).alias(f"_g_{g}") for g in grupo],
+        *[c for c in stats.columns if c not in grupo],
+        F.explode(F.sequence(F.lit(0), F.lit(SALES_DE_GRUPO - 1))).alias("_sal_stats"),
+    )
+    saladas = filas.withColumn("_sal", F.pmod(F.hash(repartir_por), F.lit(SALES_DE_GRUPO)))
+    iguales = [saladas[g].eqNullSafe(copias[f"_g_{g}"]) for g in grupo]
+    condicion = reduce(lambda a, b: a & b, iguales, saladas["_sal"] == copias["_sal_stats"])
+    return saladas.join(copias, condicion).drop("_sal", "_sal_stats", *[f"_g_{g}" for g in grupo])
+
+
+# The sketch of percentile_approx is off by at most 1/accuracy of the rows.  A band of
+# ten times that on both sides of the wanted rank contains both order statistics that
+# the percentile lies between, once a group has enough rows; smaller groups keep all
+# their values.
+_PRECISION = 10_000
+_BANDA = 10 / _PRECISION
+_GRUPO_CHICO = 100_000
+
+
+def percentiles_exactos(
+    df: DataFrame, grupo: list[str], valor: str, cuantiles: dict[str, float]
+) -> DataFrame:
+    """Exact interpolated percentiles per group, without gathering a group.
+
+    1. a mergeable sketch gives, per group and percentile, a band of values around the
+       wanted rank;
+    2. values outside the bands are reduced to counts, values inside to distinct
+       values with counts, all with partial aggregation;
+    3. a running count over what is left (about 0.2 % of a big group) finds the order
+       statistics, which are interpolated linearly.
+
+    NULLs are ignored; a group of NULLs only gets no row.
+    """
+    nombres = list(cuantiles)
+    filas = df.select(*grupo, F.col(valor).alias("_v")).where(F.col("_v").isNotNull())
+
+    sondas = [
+        max(0.0, min(1.0, cuantiles[n] + lado)) for n in nombres for lado in (-_BANDA, _BANDA)
+    ]
+    total = filas.groupBy(*grupo).agg(
+        F.count("_v").alias("_n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", sondas, _PRECISION).alias("_sondas"),
+    )
+    chico = F.col("_n") <= _GRUPO_CHICO
+    bandas = total.select(
+        *grupo,
+        "_n",
+        *[
+            F.when(chico, F.col("_max" if lado else "_min"))
+            .otherwise(F.col("_sondas")[2 * i + lado])
+            .alias(f"_{'hasta' if lado else 'desde'}_{i}")
+            for i in range(len(nombres))
+            for lado in (0, 1)
+        ],
+    )
+
+    v = F.col("_v")
+    dentro = reduce(
+        lambda a, b: a | b,
+        [v.between(F.col(f"_desde_{i}"), F.col(f"_hasta_{i}")) for i in range(len(nombres))],
+    )
+    bandas_debajo = reduce(
+        lambda a, b: a + b, [(v > F.col(f"_hasta_{i}")).cast("int") for i in range(len(nombres))]
+    )
+    reducidas = (
+        adjuntar_por_grupo(filas, bandas, grupo, "_v")
+        .groupBy(*grupo, bandas_debajo.alias("_hueco"), F.when(dentro, v).alias("_valor"))
+        .agg(F.count("_v").alias("_c"), F.max("_v").alias("_v"), F.max("_n").alias("_n"))
+    )
+
+    hasta_aqui = Window.partitionBy(*(grupo or [F.lit(0)])).orderBy("_v").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    contadas = reducidas.withColumn("_acum", F.sum("_c").over(hasta_aqui))
+
+    def orden(posicion):
+        return F.min(F.when(F.col("_acum") > posicion, v))
+
+    agregados = []
+    for n in nombres:
+        pos = F.lit(cuantiles[n]) * (F.col("_n") - 1)
+        agregados += [
+            orden(F.floor(pos)).alias(f"_a_{n}"),
+            orden(F.ceil(pos)).alias(f"_b_{n}"),
+            F.max(pos - F.floor(pos)).alias(f"_f_{n}"),
+        ]
+    return (
+        contadas.groupBy(*grupo)
+        .agg(*agregados)
+        .select(
+            *grupo,
+            *[
+                (F.col(f"_a_{n}") + (F.col(f"_b_{n}") - F.col(f"_a_{n}")) * F.col(f"_f_{n}")).alias(n)
+                for n in nombres
+            ],
+        )
+    )
