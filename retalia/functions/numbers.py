@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 # itself a data point.  Four decimals are summed exactly instead.
 EXACTO = "decimal(18,4)"
 
+# Logarithms differ in their last bits between machines.  Norms are cut to 8 decimals of
+# a 0..100 scale; a sum of norms times two-decimal weights then has 10 exact decimals,
+# so scores and their ties come out the same everywhere.
+DECIMALES_NORMA = 8
 DECIMALES_PUNTAJE = 10
 
 
@@ -25,7 +29,7 @@ def log_desde_minimo(valor: Column, minimo: Column) -> Column:
 def normalizar_desde_log(log: Column, minimo: Column, maximo: Column) -> Column:
     """Min-max of logarithms to 0..100; a scope without spread gets 100."""
     escala = (log - minimo) * F.lit(100.0) / F.nullif(maximo - minimo, F.lit(0.0))
-    return F.when(maximo == minimo, F.lit(100.0)).otherwise(F.round(escala, DECIMALES_PUNTAJE))
+    return F.when(maximo == minimo, F.lit(100.0)).otherwise(F.round(escala, DECIMALES_NORMA))
 
 
 def razon(numerador: Column, denominador: Column) -> Column:

@@ -1,0 +1,26 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from pyspark.sql import SparkSession
+
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("retalia-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "6g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("compartida")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("almacen")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
