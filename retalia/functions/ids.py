@@ -24,18 +24,22 @@ def recortar_basura_extremos(col: Column) -> Column:
     return F.regexp_extract(col, r"(?s)[0-9](?:.*[0-9])?", 0)
 
 
+# What follows the document number, in order of precedence: from the first hyphen on,
+# from the first asterisk on, or a last symbol with exactly one digit behind it.
+_CON_VERIFICADOR = r"(?s)\A(?:([^-]*)-.*|([^*]*)\*.*|(.*)[^0-9][0-9])\z"
+
+
+def _sin_verificador(col: Column) -> Column:
+    """One expression that names its input once: it is evaluated per sale line."""
+    return F.regexp_replace(col, _CON_VERIFICADOR, "$1$2$3")
+
+
 def derivar_cliente_id_limpio(col: Column) -> Column:
     """Drop the check digit of a cleaned id; NULL when nothing is left.
 
-    A hyphen wins over an asterisk wherever they stand.  With neither of them,
-    a last symbol followed by exactly one digit is taken for a separator.
+    A hyphen wins over an asterisk wherever they stand.
     """
-    cuerpo = (
-        F.when(F.contains(col, F.lit("-")), F.substring_index(col, "-", 1))
-        .when(F.contains(col, F.lit("*")), F.substring_index(col, "*", 1))
-        .otherwise(F.regexp_replace(col, r"[^0-9][0-9]\z", ""))
-    )
-    return F.nullif(cuerpo, F.lit(""))
+    return F.nullif(_sin_verificador(col), F.lit(""))
 
 
 def cliente_id_clean(col: Column) -> Column:
@@ -47,6 +51,11 @@ def cliente_id_limpio(col: Column) -> Column:
     return derivar_cliente_id_limpio(cliente_id_clean(col))
 
 
+def cliente_id_limpio_o_vacio(col: Column) -> Column:
+    """Like :func:`cliente_id_limpio`, with ``''`` in place of NULL for ids without digits."""
+    return _sin_verificador(cliente_id_clean(col))
+
+
 def nombre_limpio(col: Column) -> Column:
     """Upper-case, no accents, no bars, single blanks.
 

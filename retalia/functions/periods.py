@@ -20,13 +20,14 @@ def periodo(anio: Column, mes: Column) -> Column:
     return (anio * 100 + mes).cast("int")
 
 
-def _mes_absoluto(p: Column) -> Column:
+def mes_absoluto(p: Column) -> Column:
+    """Months since year 0 of a ``YYYYMM`` integer."""
     return (F.floor(p / 100) * 12 + p % 100).cast("int")
 
 
 def meses_entre_periodos(reciente: Column, antiguo: Column) -> Column:
     """Months from ``antiguo`` to ``reciente``, both ``YYYYMM``."""
-    return _mes_absoluto(reciente) - _mes_absoluto(antiguo)
+    return mes_absoluto(reciente) - mes_absoluto(antiguo)
 
 
 # -- distinct days of a bounded window as bit masks ---------------------------------
@@ -37,26 +38,33 @@ def meses_entre_periodos(reciente: Column, antiguo: Column) -> Column:
 # in n/2 longs, which partial aggregation ORs together like any other sum.
 
 
-def mascaras_dias(fecha: Column, inicio: dt.date, meses: int) -> dict[str, Column]:
-    """Aggregates ``dias_0 .. dias_k``: the set of days seen, two months per long."""
-    indice = F.year(fecha) * 12 + F.month(fecha) - (inicio.year * 12 + inicio.month)
-    desplazamiento = (indice % _MESES_POR_MASCARA) * (_DIAS_POR_MASCARA // 2) + F.dayofmonth(fecha) - 1
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), desplazamiento)
-    return {
-        f"dias_{k}": F.bit_or(
-            F.when(indice.between(2 * k, 2 * k + 1), bit).otherwise(F.lit(0).cast("long"))
-        )
-        for k in range(n_mascaras(meses))
-    }
+def marca_dia(fecha: Column, inicio: dt.date) -> list[Column]:
+    """Columns ``_mascara`` (which long) and ``_bit`` (the bit in it) of a day."""
+    mes = F.year(fecha) * 12 + F.month(fecha) - (inicio.year * 12 + inicio.month)
+    posicion = (mes % _MESES_POR_MASCARA) * (_DIAS_POR_MASCARA // 2) + F.dayofmonth(fecha) - 1
+    return [
+        F.floor(mes / _MESES_POR_MASCARA).cast("int").alias("_mascara"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), posicion).alias("_bit"),
+    ]
 
 
 def n_mascaras(meses: int) -> int:
     return -(-meses // _MESES_POR_MASCARA)
 
 
-def unir_mascaras(meses: int) -> dict[str, Column]:
+def mascaras_dias(meses: int) -> list[Column]:
+    """Aggregates ``dias_0 .. dias_k`` over :func:`marca_dia`: the set of days seen."""
+    return [
+        F.bit_or(F.when(F.col("_mascara") == k, F.col("_bit")).otherwise(F.lit(0).cast("long"))).alias(
+            f"dias_{k}"
+        )
+        for k in range(n_mascaras(meses))
+    ]
+
+
+def unir_mascaras(meses: int) -> list[Column]:
     """Aggregates that merge masks already built."""
-    return {f"dias_{k}": F.bit_or(f"dias_{k}") for k in range(n_mascaras(meses))}
+    return [F.bit_or(f"dias_{k}").alias(f"dias_{k}") for k in range(n_mascaras(meses))]
 
 
 def contar_dias(meses: int) -> Column:

@@ -25,8 +25,9 @@ def adjuntar_por_grupo(
     join keys by the hash of ``repartir_por``; the few rows of ``stats`` are repeated
     for each.  Whether they are broadcast is left to their measured size.
     """
-    if not grupo:
-        return filas.crossJoin(F.broadcast(stats))  # aggregate without keys: one row
+    if not grupo:  # an aggregate without keys has one row: a scalar subquery, run once
+        unica = stats.select(F.struct(*stats.columns)).scalar()
+        return filas.select("*", *[unica.getField(c).alias(c) for c in stats.columns])
     copias = stats.select(
         *[F.col(g).alias(f"_g_{g}") for g in grupo],
         *[c for c in stats.columns if c not in grupo],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retalia.functions.numbers import exacto
-from retalia.functions.periods import meses_entre_periodos, periodo
+from retalia.functions.periods import mes_absoluto, meses_entre_periodos, periodo
 from retalia.params import Params
 
 # Branch codes, in the order in which labels name them.
@@ -39,7 +39,11 @@ TIPOS_EVENTO = ["Nuevo - Unico", "Nuevo - Dual", "Recurrente - Dual", "Recurrent
 def fct_ventas_36m_pivotado(
     ventas_36m: DataFrame, sucursales: DataFrame, clientes_limpio: DataFrame
 ) -> DataFrame:
-    """Customer-months with one amount column per branch (0 when it sold nothing)."""
+    """Customer-months with one amount column per branch (0 when it sold nothing).
+
+    ``ventas_36m`` is the monthly table where one is kept, or else the lines of its
+    window (``sales.lineas_36m``), whose exact sums are the same.
+    """
     de_sucursal = ventas_36m.join(sucursales.select("pdv_id", "sucursal_codigo"), "pdv_id")
     montos = de_sucursal.groupBy("cliente_id_limpio", "anio", "mes").agg(
         *[
@@ -54,17 +58,18 @@ def fct_ventas_36m_pivotado(
     ).select("cliente_id_limpio", "anio", "mes", *SUCURSALES, "nombre")
 
 
-def _enumerar(activas: Column) -> Column:
-    return F.array_join(activas, " y ")
+def _enumerar(condiciones: dict[str, Column]) -> Column:
+    """The branches whose condition holds, joined by "y"."""
+    return F.concat_ws(" y ", *[F.when(cond, F.lit(s)) for s, cond in condiciones.items()])
 
 
 def _etiqueta_presencia(compra: dict[str, Column]) -> Column:
     """Label of the set of branches in which the customer holds a balance."""
-    activas = F.array_compact(F.array(*[F.when(cond, F.lit(s)) for s, cond in compra.items()]))
+    cuantas = sum((F.when(cond, 1).otherwise(0) for cond in compra.values()), F.lit(0))
     return (
-        F.when(F.size(activas) == 1, F.concat(F.lit("Cliente "), _enumerar(activas)))
-        .when(F.size(activas) == 2, F.concat(F.lit("Cliente Dual "), _enumerar(activas)))
-        .when(F.size(activas) == 3, F.lit("Cliente SL, R1 y R2"))
+        F.when(cuantas == 1, F.concat(F.lit("Cliente "), _enumerar(compra)))
+        .when(cuantas == 2, F.concat(F.lit("Cliente Dual "), _enumerar(compra)))
+        .when(cuantas == 3, F.lit("Cliente SL, R1 y R2"))
     )
 
 
@@ -73,10 +78,10 @@ def _etiqueta_salida(origen: str, saldo: dict[str, Column]) -> Column:
     destinos = [s for s in SUCURSALES if s != origen]
     sin_deuda = (saldo[destinos[0]] >= 0) & (saldo[destinos[1]] >= 0)
     alguno = (saldo[destinos[0]] > 0) | (saldo[destinos[1]] > 0)
-    nuevas = F.array_compact(F.array(*[F.when(saldo[s] > 0, F.lit(s)) for s in destinos]))
-    return F.when(
-        sin_deuda & alguno, F.concat(F.lit(f"Migro de {origen} a "), _enumerar(nuevas))
-    ).otherwise(F.lit(f"Cliente {origen}"))
+    nuevas = _enumerar({s: saldo[s] > 0 for s in destinos})
+    return F.when(sin_deuda & alguno, F.concat(F.lit(f"Migro de {origen} a "), nuevas)).otherwise(
+        F.lit(f"Cliente {origen}")
+    )
 
 
 def dim_cliente_tipo_migracion(pivotado: DataFrame) -> DataFrame:
@@ -133,10 +138,9 @@ def int_canibalizacion_migracion_base(pivotado: DataFrame, params: Params) -> Da
     con_compra = pivotado.where(
         (F.col("SL") > 0) | (F.col("R1") > 0) | (F.col("R2") > 0)
     ).withColumn("periodo", periodo(F.col("anio"), F.col("mes")))
-    ultimo = con_compra.agg(F.max("periodo").alias("_ultimo"))  # aggregate without keys: one row
-    en_ventana = con_compra.crossJoin(F.broadcast(ultimo)).where(
-        meses_entre_periodos(F.col("_ultimo"), F.col("periodo"))
-        <= params.canibalizacion_v3_ventana_meses - 1
+    ultimo = con_compra.agg(F.max(mes_absoluto(F.col("periodo")))).scalar()  # one row, run once
+    en_ventana = con_compra.where(
+        mes_absoluto(F.col("periodo")) > ultimo - params.canibalizacion_v3_ventana_meses
     )
     cliente = Window.partitionBy("cliente_id_limpio")
     return (
@@ -163,18 +167,15 @@ def int_canibalizacion_migracion_base(pivotado: DataFrame, params: Params) -> Da
 
 
 def fct_canibalizacion_evolutivo_cliente(base: DataFrame) -> DataFrame:
-    """One row per customer, month and branch with a purchase (single scan)."""
-    fijas = [
-        "cliente_id_limpio",
-        "nombre",
-        "anio",
-        "mes",
-        "periodo",
-        "tipo_global",
-        "primer_periodo_ventana",
-    ]
+    """One row per customer, month and branch with a purchase (single scan).
+
+    ``inline`` instead of ``unpivot`` keeps the partitioning by customer of ``base``.
+    """
+    por_sucursal = F.array(
+        *[F.struct(F.lit(s).alias("sucursal"), F.col(s).alias("monto")) for s in SUCURSALES]
+    )
     return (
-        base.unpivot(fijas, SUCURSALES, "sucursal", "monto")
+        base.select("*", F.inline(por_sucursal))
         .where(F.col("monto") > 0)
         .select(
             "cliente_id_limpio",

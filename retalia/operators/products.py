@@ -15,7 +15,7 @@ from retalia.functions.numbers import (
     normalizar_desde_log,
     razon,
 )
-from retalia.functions.periods import contar_dias, mascaras_dias, unir_mascaras
+from retalia.functions.periods import contar_dias, marca_dia, mascaras_dias, unir_mascaras
 from retalia.operators.group_stats import adjuntar_por_grupo
 from retalia.operators.sales import int_ventas_12m
 from retalia.params import Params
@@ -57,23 +57,19 @@ def medidas_por_producto(ventas_12m: DataFrame, params: Params) -> DataFrame:
     por_ticket = (
         int_ventas_12m(ventas_12m, params)
         .select(
-            F.explode(F.array(F.lit("GLOBAL"), F.col("pdv_id").cast("string"))).alias("ambito"),
+            F.col("pdv_id").cast("string").alias("_pdv"),
             "producto_id",
             "ticket_id",
-            "fecha_venta",
-            "unidades",
-            "venta_gs",
+            exacto("unidades").alias("unidades"),
+            exacto("venta_gs").alias("venta_gs"),
+            *marca_dia(F.col("fecha_venta"), params.inicio_ventana(meses)),
         )
+        .select("*", F.explode(F.array(F.lit("GLOBAL"), F.col("_pdv"))).alias("ambito"))
         .groupBy("ambito", "producto_id", "ticket_id")
         .agg(
-            F.sum(exacto("unidades")).alias("unidades"),
-            F.sum(exacto("venta_gs")).alias("venta_gs"),
-            *[
-                m.alias(n)
-                for n, m in mascaras_dias(
-                    F.col("fecha_venta"), params.inicio_ventana(meses), meses
-                ).items()
-            ],
+            F.sum("unidades").alias("unidades"),
+            F.sum("venta_gs").alias("venta_gs"),
+            *mascaras_dias(meses),
         )
     )
     u = F.col("unidades")
@@ -86,7 +82,7 @@ def medidas_por_producto(ventas_12m: DataFrame, params: Params) -> DataFrame:
             F.count_if(u.between(1, 2)).alias("tickets_1_2"),
             F.count_if(u.between(3, 5)).alias("tickets_3_5"),
             F.count_if(u >= 6).alias("tickets_6_mas"),
-            *[m.alias(n) for n, m in unir_mascaras(meses).items()],
+            *unir_mascaras(meses),
         )
         .withColumn("dias_con_ventas", contar_dias(meses))
         .withColumn("unidades_por_ticket", razon(F.col("unidades_totales"), F.col("tickets_por_producto")))

@@ -144,7 +144,9 @@ def snapshot_scd2(
             F.lit(None).cast("timestamp_ntz").alias("dbt_valid_to"),
         ),
     )
-    versiones = pares.select(F.explode(F.array_compact(F.array(vieja, nueva))).alias("v")).select("v.*")
+    versiones = (
+        pares.select(F.explode(F.array(vieja, nueva)).alias("v")).where(F.col("v").isNotNull()).select("v.*")
+    )
     return cerradas.select(*datos, *_VERSION).unionByName(versiones)
 
 

@@ -53,11 +53,11 @@ def int_ventas_elegibles(
     The product is only asked for existence (its id is unique), hence a semi join.
     """
     if mapeo is None:
-        limpio = F.substring(ids.cliente_id_limpio(F.col("cliente_id")), 1, _LARGO_MAPEO)
+        limpio = F.substring(ids.cliente_id_limpio_o_vacio(F.col("cliente_id")), 1, _LARGO_MAPEO)
         con_cliente = (
             ventas.where(F.length("cliente_id") <= _LARGO_MAPEO)
             .withColumn("cliente_id_limpio", limpio)
-            .where(F.col("cliente_id_limpio") != params.cliente_prueba)  # NULL goes too
+            .where(~F.col("cliente_id_limpio").isin("", params.cliente_prueba))
         )
     else:
         con_cliente = ventas.join(mapeo.select("cliente_id", "cliente_id_limpio"), "cliente_id").where(
@@ -86,22 +86,28 @@ def int_ventas_12m(elegibles: DataFrame, params: Params) -> DataFrame:
     return en_ventana(elegibles, params.inicio_ventana(params.ventana_meses_12m), params.corte)
 
 
-def fct_ventas_36m(elegibles: DataFrame, params: Params, desde: dt.date | None = None) -> DataFrame:
-    """Monthly sales by customer, product and point of sale over the long window.
+def lineas_36m(elegibles: DataFrame, params: Params, desde: dt.date | None = None) -> DataFrame:
+    """Lines of the long window under the columns of :func:`fct_ventas_36m`.
 
-    ``desde`` (a first of month) restricts the build to the later months.
+    ``desde`` (a first of month) restricts them to the later months.
     """
     inicio = params.inicio_ventana(params.meses_ventana_canibalizacion)
     if desde is not None:
         inicio = max(inicio, desde)
+    return en_ventana(elegibles, inicio, params.corte).select(
+        "cliente_id_limpio",
+        "producto_id",
+        "pdv_id",
+        F.year("fecha_venta").alias("anio"),
+        F.month("fecha_venta").alias("mes"),
+        F.col("venta_gs").alias("total_ventas"),
+    )
+
+
+def fct_ventas_36m(elegibles: DataFrame, params: Params, desde: dt.date | None = None) -> DataFrame:
+    """Monthly sales by customer, product and point of sale over the long window."""
     return (
-        en_ventana(elegibles, inicio, params.corte)
-        .groupBy(
-            "cliente_id_limpio",
-            "producto_id",
-            "pdv_id",
-            F.year("fecha_venta").alias("anio"),
-            F.month("fecha_venta").alias("mes"),
-        )
-        .agg(F.sum(exacto("venta_gs")).cast("double").alias("total_ventas"))
+        lineas_36m(elegibles, params, desde)
+        .groupBy("cliente_id_limpio", "producto_id", "pdv_id", "anio", "mes")
+        .agg(F.sum(exacto("total_ventas")).cast("double").alias("total_ventas"))
     )

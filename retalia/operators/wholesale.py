@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retalia.functions.numbers import exacto, razon
-from retalia.functions.periods import contar_dias, mascaras_dias, unir_mascaras
+from retalia.functions.periods import contar_dias, marca_dia, mascaras_dias, unir_mascaras
 from retalia.operators.group_stats import adjuntar_por_grupo, percentiles_exactos
 from retalia.operators.sales import int_ventas_12m
 from retalia.params import Params
@@ -26,14 +26,14 @@ def tickets_por_cliente(ventas_12m: DataFrame, params: Params) -> DataFrame:
     written once instead of reading the fact for each.
     """
     meses = params.ventana_meses_12m
-    dias = mascaras_dias(F.col("fecha_venta"), params.inicio_ventana(meses), meses)
     return asentar(
         int_ventas_12m(ventas_12m, params)
+        .select("*", *marca_dia(F.col("fecha_venta"), params.inicio_ventana(meses)))
         .groupBy("cliente_id_limpio", "ticket_id", "pdv_id")
         .agg(
             F.sum(exacto("unidades")).alias("unidades"),
             F.sum(exacto("venta_gs")).alias("venta_gs"),
-            *[m.alias(n) for n, m in dias.items()],
+            *mascaras_dias(meses),
         ),
         "mayoristas-tickets",
     )
@@ -80,19 +80,19 @@ def int_mayoristas_metricas_cliente(
         .agg(
             F.sum("unidades").alias("unidades"),
             F.sum("venta_gs").alias("venta_gs"),
-            *[m.alias(n) for n, m in unir_mascaras(meses).items()],
+            *unir_mascaras(meses),
         )
     )
     u = F.col("unidades")
+    corte = umbral.select("umbral_ticket_grande").scalar()  # one row, run once as a subquery
     return (
-        por_ticket.crossJoin(F.broadcast(umbral.select("umbral_ticket_grande")))  # one row
-        .groupBy("ambito", "cliente_id_limpio")
+        por_ticket.groupBy("ambito", "cliente_id_limpio")
         .agg(
             F.count_if(u > 0).alias("tickets_unicos"),
             F.sum(F.when(u > 0, u)).cast("double").alias("upt_suma"),
-            F.count_if((u > 0) & (u.cast("double") > F.col("umbral_ticket_grande"))).alias("tickets_grandes"),
+            F.count_if((u > 0) & (u.cast("double") > corte)).alias("tickets_grandes"),
             F.sum("venta_gs").cast("double").alias("ventas_totales"),
-            *[m.alias(n) for n, m in unir_mascaras(meses).items()],
+            *unir_mascaras(meses),
         )
         .where(F.col("tickets_unicos") > 0)
         .select(

@@ -30,8 +30,12 @@ class Retail:
         productos_excluidos: DataFrame,
         params: Params,
         mapeo: DataFrame | None = None,
+        ventas_36m: DataFrame | None = None,
     ):
-        """``mapeo``: a stored customer mapping; without it, that of a full refresh."""
+        """``mapeo`` and ``ventas_36m``: tables kept by incremental runs.
+
+        Without them, each dataset is that of a full refresh.
+        """
         ajustar(ventas.sparkSession)
         self.ventas = ventas
         self.clientes = clientes
@@ -40,6 +44,7 @@ class Retail:
         self.productos_excluidos = productos_excluidos
         self.params = params
         self.mapeo = mapeo
+        self.ventas_36m = ventas_36m
 
     # -- staging ---------------------------------------------------------------
 
@@ -97,13 +102,16 @@ class Retail:
 
     @cached_property
     def fct_ventas_36m(self) -> DataFrame:
+        if self.ventas_36m is not None:
+            return self.ventas_36m
         return sales.fct_ventas_36m(self.int_ventas_elegibles, self.params)
 
     @cached_property
     def fct_ventas_36m_pivotado(self) -> DataFrame:
-        return migration.fct_ventas_36m_pivotado(
-            self.fct_ventas_36m, self.sucursales, self.stg_clientes_limpio
-        )
+        ventas = self.ventas_36m
+        if ventas is None:  # one grouping less than through the monthly table
+            ventas = sales.lineas_36m(self.int_ventas_elegibles, self.params)
+        return migration.fct_ventas_36m_pivotado(ventas, self.sucursales, self.stg_clientes_limpio)
 
     @cached_property
     def dim_cliente_tipo_migracion(self) -> DataFrame:
