@@ -24,14 +24,14 @@ def recortar_basura_extremos(col: Column) -> Column:
     return F.regexp_extract(col, r"(?s)[0-9](?:.*[0-9])?", 0)
 
 
-# What follows the document number, in order of precedence: from the first hyphen on,
-# from the first asterisk on, or a last symbol with exactly one digit behind it.
-_CON_VERIFICADOR = r"(?s)\A(?:([^-]*)-.*|([^*]*)\*.*|(.*)[^0-9][0-9])\z"
+# What follows the document number: everything from the first hyphen on; where there is
+# none, from the first asterisk on; or else a last symbol with exactly one digit behind.
+_VERIFICADOR = r"(?s)-.*|\*[^-]*\z|[^0-9][0-9]\z"
 
 
 def _sin_verificador(col: Column) -> Column:
     """One expression that names its input once: it is evaluated per sale line."""
-    return F.regexp_replace(col, _CON_VERIFICADOR, "$1$2$3")
+    return F.regexp_replace(col, _VERIFICADOR, "")
 
 
 def derivar_cliente_id_limpio(col: Column) -> Column:

@@ -8,92 +8,98 @@ and letters, and some hold a name only.  Every row of every table is used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Columns read from each table, with their types: nothing is inferred from files.
+_LINEITEM = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_returnflag string"
+)
+_ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"
+_CUSTOMER = "c_custkey bigint, c_name string"
+_PART = "p_partkey bigint, p_name string, p_brand string, p_type string"
 
-def _documento(clave: Column) -> Column:
-    return (F.lit(100000) + clave - clave % 2).cast("string")
 
+def _documento(clave: str) -> str:
+    return f"cast(100000 + {clave} - {clave} % 2 AS string)"
 
-def _id_crudo(clave: Column) -> Column:
+
+def _id_crudo(clave: str) -> str:
     doc = _documento(clave)
-    forma = clave % 8
-    digito = (clave % 10).cast("string")
-    return (
-        F.when(clave % 97 == 0, F.lit("SIN NOMBRE"))
-        .when(forma == 0, F.concat(doc, F.lit("-"), digito))
-        .when(forma == 1, F.concat(F.lit("|"), doc))
-        .when(forma == 2, F.concat(doc, F.lit(","), digito))
-        .when(forma == 3, F.concat(F.lit("CI "), doc))
-        .when(forma == 4, F.concat(doc, F.lit("*7")))
-        .otherwise(doc)
-    )
+    return f"""
+        CASE WHEN {clave} % 97 = 0 THEN 'SIN NOMBRE'
+             ELSE CASE {clave} % 8
+                  WHEN 0 THEN concat({doc}, '-', {clave} % 10)
+                  WHEN 1 THEN concat('|', {doc})
+                  WHEN 2 THEN concat({doc}, ',', {clave} % 10)
+                  WHEN 3 THEN concat('CI ', {doc})
+                  WHEN 4 THEN concat({doc}, '*7')
+                  ELSE {doc} END
+        END"""
+
+
+def _producto_id(clave: str) -> str:
+    return f"concat({clave}, IF({clave} % 50 = 0, '-G', ''))"
 
 
-def _producto_id(clave: Column) -> Column:
-    texto = clave.cast("string")
-    return F.when(clave % 50 == 0, F.concat(texto, F.lit("-G"))).otherwise(texto)
+def _repartir_si_poca(df: DataFrame, clave: str) -> DataFrame:
+    """Spread a table whose scan has fewer tasks than the session has cores.
+
+    A small file with one row group would be worked on by one core all the way to the
+    first shuffle.  A table of many files is left as it is scanned.
+    """
+    nucleos = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= nucleos else df.repartition(nucleos, clave)
 
 
 def ventas(spark: SparkSession, carpeta: str) -> DataFrame:
-    li = spark.read.parquet(f"{carpeta}/lineitem.parquet")
-    pedidos = spark.read.parquet(f"{carpeta}/orders.parquet")
-    c = F.col
-    signo = F.when((c("l_returnflag") == "R") & (c("l_linenumber") == 7), F.lit(-1.0)).otherwise(F.lit(1.0))
-    pdv = (
-        F.when(c("l_suppkey") % 10 < 1, F.lit("4"))
-        .when(c("o_custkey") % 3 == 0, F.lit("3"))
-        .when((c("o_custkey") + c("o_orderkey")) % 5 < 3, F.lit("5"))
-        .otherwise(F.lit("6"))
-    )
-    timbrado = F.when(c("l_orderkey") % 101 != 0, (F.lit(10000000) + c("l_orderkey") % 7).cast("string"))
-    return li.join(pedidos, c("l_orderkey") == c("o_orderkey")).select(
-        _id_crudo(c("o_custkey")).alias("cliente_id"),
-        _producto_id(c("l_partkey")).alias("producto_id"),
-        pdv.alias("pdv_id"),
-        c("o_orderdate").cast("date").alias("fecha_venta"),
-        (signo * c("l_extendedprice") * (F.lit(1) - c("l_discount"))).alias("venta_gs"),
-        (signo * c("l_quantity")).alias("unidades"),
-        timbrado.alias("timbrado"),
-        c("l_orderkey").cast("string").alias("factura_nro"),
+    lineas = spark.read.schema(_LINEITEM).parquet(f"{carpeta}/lineitem.parquet")
+    lineas = _repartir_si_poca(lineas, "l_orderkey")
+    pedidos = spark.read.schema(_ORDERS).parquet(f"{carpeta}/orders.parquet")
+    signo = "IF(l_returnflag = 'R' AND l_linenumber = 7, -1D, 1D)"
+    return lineas.join(pedidos, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        f"{_id_crudo('o_custkey')} AS cliente_id",
+        f"{_producto_id('l_partkey')} AS producto_id",
+        """CASE WHEN l_suppkey % 10 < 1 THEN '4'
+                WHEN o_custkey % 3 = 0 THEN '3'
+                WHEN (o_custkey + o_orderkey) % 5 < 3 THEN '5'
+                ELSE '6' END AS pdv_id""",
+        "cast(o_orderdate AS date) AS fecha_venta",
+        f"{signo} * l_extendedprice * (1 - l_discount) AS venta_gs",
+        f"{signo} * l_quantity AS unidades",
+        "IF(l_orderkey % 101 = 0, NULL, cast(10000000 + l_orderkey % 7 AS string)) AS timbrado",
+        "cast(l_orderkey AS string) AS factura_nro",
     )
 
 
 def clientes(spark: SparkSession, carpeta: str) -> DataFrame:
     """Customers; one in eleven is registered under another id than it buys with."""
-    c = F.col
-    clave = c("c_custkey")
-    ajeno = (F.lit(900000) + clave).cast("string")
-    return spark.read.parquet(f"{carpeta}/customer.parquet").select(
-        F.when((clave % 97 != 0) & (clave % 11 == 0), ajeno).otherwise(_id_crudo(clave)).alias("cliente_id"),
-        F.when(clave % 5 != 0, _documento(clave)).alias("ci_ruc"),
-        c("c_name").alias("nombre"),
-        F.concat(F.lit("09"), clave.cast("string")).alias("celular"),
-        F.concat(F.lit("c"), clave.cast("string"), F.lit("@x.py")).alias("mail"),
+    return spark.read.schema(_CUSTOMER).parquet(f"{carpeta}/customer.parquet").selectExpr(
+        f"""CASE WHEN c_custkey % 97 <> 0 AND c_custkey % 11 = 0 THEN cast(900000 + c_custkey AS string)
+                 ELSE {_id_crudo('c_custkey')} END AS cliente_id""",
+        f"IF(c_custkey % 5 = 0, NULL, {_documento('c_custkey')}) AS ci_ruc",
+        "c_name AS nombre",
+        "concat('09', c_custkey) AS celular",
+        "concat('c', c_custkey, '@x.py') AS mail",
     )
 
 
 def productos(spark: SparkSession, carpeta: str) -> DataFrame:
-    c = F.col
-    clave = c("p_partkey")
-    nulo = F.lit(None).cast("string")
-    return spark.read.parquet(f"{carpeta}/part.parquet").select(
-        _producto_id(clave).alias("producto_id"),
-        F.when(clave % 20 == 1, F.lit(1)).otherwise(F.lit(3)).cast("long").alias("id_empresa"),
-        F.when(clave % 37 == 0, F.lit("EGRESOS"))
-        .when(clave % 41 == 0, F.lit("Servicios"))
-        .otherwise(c("p_type"))
-        .alias("categoria_1"),
-        F.when(clave % 43 == 0, F.lit("BÓLSA reutilizable"))
-        .when(clave % 11 != 0, c("p_name"))
-        .alias("categoria_2"),
-        nulo.alias("categoria_3"),
-        nulo.alias("categoria_4"),
-        nulo.alias("categoria_5"),
-        c("p_name").alias("nonbre"),
-        c("p_brand").alias("marca"),
-        nulo.alias("unidad_medida"),
+    return spark.read.schema(_PART).parquet(f"{carpeta}/part.parquet").selectExpr(
+        f"{_producto_id('p_partkey')} AS producto_id",
+        "cast(IF(p_partkey % 20 = 1, 1, 3) AS bigint) AS id_empresa",
+        """CASE WHEN p_partkey % 37 = 0 THEN 'EGRESOS'
+                WHEN p_partkey % 41 = 0 THEN 'Servicios'
+                ELSE p_type END AS categoria_1""",
+        """CASE WHEN p_partkey % 43 = 0 THEN 'BÓLSA reutilizable'
+                WHEN p_partkey % 11 <> 0 THEN p_name END AS categoria_2""",
+        "cast(NULL AS string) AS categoria_3",
+        "cast(NULL AS string) AS categoria_4",
+        "cast(NULL AS string) AS categoria_5",
+        "p_name AS nonbre",
+        "p_brand AS marca",
+        "cast(NULL AS string) AS unidad_medida",
     )
 
 
@@ -105,8 +111,4 @@ def clientes_mapeo_previo(spark: SparkSession, carpeta: str) -> DataFrame:
     """
     letras = F.translate(F.upper("cliente_id"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ ", "")
     previo = F.coalesce(F.nullif(F.substring_index(letras, "-", 1), F.lit("")), F.col("cliente_id"))
-    return (
-        clientes(spark, carpeta)
-        .groupBy("cliente_id")
-        .agg(F.min(previo).alias("cliente_id_limpio"))
-    )
+    return clientes(spark, carpeta).groupBy("cliente_id").agg(F.min(previo).alias("cliente_id_limpio"))
