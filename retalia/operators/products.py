@@ -16,7 +16,7 @@ from retalia.functions.numbers import (
     razon,
 )
 from retalia.functions.periods import contar_dias, marca_dia, mascaras_dias, unir_mascaras
-from retalia.operators.group_stats import adjuntar_por_grupo
+from retalia.operators.skew import adjuntar_por_grupo
 from retalia.operators.sales import int_ventas_12m
 from retalia.params import Params
 from retalia.sources.workspace import asentar

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from retalia.functions import ids
 from retalia.functions.numbers import exacto
 from retalia.functions.text import contiene
+from retalia.operators.skew import semi_join_repartido
 from retalia.params import Params
 
 _LARGO_MAPEO = 50  # width of both ids in the mapping
@@ -63,8 +64,9 @@ def int_ventas_elegibles(
         con_cliente = ventas.join(mapeo.select("cliente_id", "cliente_id_limpio"), "cliente_id").where(
             F.coalesce("cliente_id_limpio", F.lit("")) != params.cliente_prueba
         )
-    return con_cliente.join(
-        productos_validos(productos, excluidos, params), "producto_id", "left_semi"
+    validos = productos_validos(productos, excluidos, params)
+    return semi_join_repartido(
+        con_cliente, validos, "producto_id", ["cliente_id", "fecha_venta", "factura_nro"]
     ).select(
         "cliente_id",
         "cliente_id_limpio",

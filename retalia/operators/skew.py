@@ -1,9 +1,10 @@
-"""Per-group statistics on rows whose groups are few and very uneven.
+"""Joins and statistics on keys of which one may hold a third of the rows.
 
-A scope such as ``GLOBAL`` holds a third of the rows or more, so neither a window over
-the scope nor a join that is hashed on it alone can be used: both put the scope into
-one task.  Statistics are therefore aggregated (with partial aggregation), and brought
-back by a join on scope *and* salt.
+A scope such as ``GLOBAL``, or a best-selling product, must not end up in one task.
+Windows over such a key and joins that are hashed on it alone do exactly that, so
+statistics are aggregated (with partial aggregation) and brought back by a join on key
+*and* salt, and lists of keys are met the same way unless they are small enough for
+Catalyst to broadcast.
 """
 
 from __future__ import annotations
@@ -13,7 +14,36 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SALES_DE_GRUPO = 64  # salts per group
+SALES_DE_GRUPO = 64  # salts per group of statistics
+SALES_DE_CLAVE = 16  # copies of a list of keys; AQE splits further by measured size
+
+
+def cabe_en_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst's own estimate of the size is within its broadcast limit."""
+    limite = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    tamano = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(tamano)) <= limite
+
+
+def semi_join_repartido(
+    filas: DataFrame, lista: DataFrame, clave: str, repartir_por: list[str]
+) -> DataFrame:
+    """Rows whose ``clave`` is in ``lista``.
+
+    A list within the broadcast limit is joined as it is (no shuffle of the rows).  A
+    bigger one is repeated for every salt and met on key and salt: a hot key spreads
+    over ``SALES_DE_CLAVE`` partitions, each of which AQE may split, and a grouping by
+    the key behind the join cannot take over the join's partitioning.
+    """
+    if cabe_en_broadcast(lista):
+        return filas.join(lista, clave, "left_semi")
+    sales = F.explode(F.sequence(F.lit(0), F.lit(SALES_DE_CLAVE - 1)))
+    sal = F.pmod(F.hash(*repartir_por), F.lit(SALES_DE_CLAVE))
+    return (
+        filas.withColumn("_sal", sal)
+        .join(lista.select(clave, sales.alias("_sal")), [clave, "_sal"], "left_semi")
+        .drop("_sal")
+    )
 
 
 def adjuntar_por_grupo(

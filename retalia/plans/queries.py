@@ -13,7 +13,7 @@ from retalia.functions import ids
 from retalia.functions.numbers import exacto, log_desde_minimo, normalizar_desde_log
 from retalia.functions.periods import fecha_corte_mes_cerrado, meses_entre_periodos, periodo
 from retalia.operators import customers, diagnostics, publish, quality, sales
-from retalia.operators.group_stats import adjuntar_por_grupo
+from retalia.operators.skew import adjuntar_por_grupo
 from retalia.params import Params
 from retalia.plans.retail import Retail
 from retalia.sources import seeds, star

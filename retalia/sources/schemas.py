@@ -6,8 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def _tabla(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TIPOS = {
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "double": T.DoubleType(),
+    "bigint": T.LongType(),
+}
+
+
+def _tabla(columnas: str) -> T.StructType:
+    """Schema from "name type, ..." (usable before a session exists)."""
+    pares = (c.split() for c in columnas.split(", "))
+    return T.StructType([T.StructField(nombre, _TIPOS[tipo]) for nombre, tipo in pares])
 
 
 # Column names and types of the source tables.
