@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retalia.functions.periods import periodo
@@ -71,6 +71,64 @@ def refrescar_ventas_36m(previo: DataFrame | None, elegibles: DataFrame, params:
     return intactos.unionByName(fct_ventas_36m(elegibles, params, desde=desde))
 
 
+_PROPIEDAD_MESES = "retalia.meses"
+
+
+def _meses_publicados(spark: SparkSession, nombre: str) -> dict[int, str]:
+    """Path of each month of a table published month by month."""
+    if not spark.catalog.tableExists(nombre):
+        return {}
+    propiedades = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{nombre}`").collect()}
+    pares = (x.split("=", 1) for x in propiedades.get(_PROPIEDAD_MESES, "").split(";") if x)
+    return {int(p): ruta for p, ruta in pares}
+
+
+def publicar_meses(
+    nuevos: DataFrame, nombre: str, carpeta: str, inicio: dt.date, desde: dt.date
+) -> DataFrame:
+    """Replace the months from ``desde`` on of a published table; write nothing else.
+
+    ``nuevos`` holds all rows of those months (columns ``anio`` and ``mes``).  They go
+    to a fresh path with one folder per month; the catalogue view ``nombre`` is then
+    replaced by one over these folders and those of the untouched months not before
+    ``inicio``.  A month that became empty disappears with its folder left unlisted.
+    """
+    spark = nuevos.sparkSession
+    a_mes = inicio.year * 100 + inicio.month, desde.year * 100 + desde.month
+    meses = {p: r for p, r in _meses_publicados(spark, nombre).items() if a_mes[0] <= p < a_mes[1]}
+
+    ruta = f"{carpeta.rstrip('/')}/{nombre}/version-{uuid.uuid4().hex}"
+    con_periodo = nuevos.withColumn("periodo", periodo(F.col("anio"), F.col("mes")))
+    con_periodo.hint("rebalance", "periodo").write.partitionBy("periodo").parquet(ruta)
+    escritos = spark.read.schema(con_periodo.schema).parquet(ruta).select("periodo").distinct()
+    meses |= {r.periodo: f"{ruta}/periodo={r.periodo}" for r in escritos.collect()}  # months only
+
+    columnas = ", ".join(f"`{c}`" for c in nuevos.columns)
+    partes = [f"SELECT {columnas} FROM parquet.`{meses[p]}`" for p in sorted(meses)]
+    vacia = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in nuevos.schema)
+    lista = ";".join(f"{p}={r}" for p, r in sorted(meses.items()))
+    spark.sql(
+        f"CREATE OR REPLACE VIEW `{nombre}` TBLPROPERTIES ('{_PROPIEDAD_MESES}' = '{lista}') AS "
+        + (" UNION ALL ".join(partes) or f"SELECT {vacia} WHERE false")
+    )
+    return spark.table(nombre)
+
+
+def publicar_ventas_36m(
+    elegibles: DataFrame, params: Params, nombre: str, carpeta: str, completa: bool = False
+) -> DataFrame:
+    """Incremental run of the monthly table: only months of the look-back are written.
+
+    The first run, and one with ``completa``, builds the whole window.
+    """
+    inicio = params.inicio_ventana(params.meses_ventana_canibalizacion)
+    primera = completa or not _meses_publicados(elegibles.sparkSession, nombre)
+    desde = inicio if primera else max(inicio, params.inicio_lookback_mes)
+    return publicar_meses(
+        fct_ventas_36m(elegibles, params, desde=desde), nombre, carpeta, inicio, desde
+    )
+
+
 # -- history -----------------------------------------------------------------------
 
 _VERSION = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]

@@ -31,10 +31,11 @@ class Retail:
         params: Params,
         mapeo: DataFrame | None = None,
         ventas_36m: DataFrame | None = None,
+        elegibles: DataFrame | None = None,
     ):
-        """``mapeo`` and ``ventas_36m``: tables kept by incremental runs.
+        """``mapeo``, ``ventas_36m`` and ``elegibles``: stored tables to build on.
 
-        Without them, each dataset is that of a full refresh.
+        Without them, each dataset is that of a full refresh from the sources.
         """
         ajustar(ventas.sparkSession)
         self.ventas = ventas
@@ -45,6 +46,7 @@ class Retail:
         self.params = params
         self.mapeo = mapeo
         self.ventas_36m = ventas_36m
+        self.elegibles = elegibles
 
     # -- staging ---------------------------------------------------------------
 
@@ -86,6 +88,8 @@ class Retail:
 
     @cached_property
     def int_ventas_elegibles(self) -> DataFrame:
+        if self.elegibles is not None:
+            return self.elegibles
         return sales.int_ventas_elegibles(
             self.stg_ventas,
             self.stg_productos,
@@ -98,6 +102,27 @@ class Retail:
     def int_ventas_12m(self) -> DataFrame:
         return sales.int_ventas_12m(self.int_ventas_elegibles, self.params)
 
+    def fijar_elegibles(self) -> Retail:
+        """Write the eligible lines of the longest window once, for all that follows.
+
+        Worth it when several marts are built in one run: each of them would scan and
+        join the fact again.
+        """
+        meses = max(self.params.meses_ventana_canibalizacion, self.params.ventana_meses_12m)
+        inicio = self.params.inicio_ventana(meses)
+        lineas = sales.en_ventana(self.int_ventas_elegibles, inicio, self.params.corte)
+        return Retail(
+            self.ventas,
+            self.clientes,
+            self.productos,
+            self.sucursales,
+            self.productos_excluidos,
+            self.params,
+            self.mapeo,
+            self.ventas_36m,
+            asentar(lineas, "ventas-elegibles"),
+        )
+
     # -- migration between branches --------------------------------------------
 
     @cached_property

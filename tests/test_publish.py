@@ -112,3 +112,45 @@ def test_months_of_the_window(spark):
     r = retail(spark, v)
     hay = {(x.anio, x.mes) for x in sales.fct_ventas_36m(r.int_ventas_elegibles, P).collect()}
     assert hay == {(2021, 7), (2024, 6)}
+
+
+def test_months_are_replaced_in_place(spark, tmp_path):
+    """Only months of the look-back are written; one that became empty disappears."""
+    carpeta, nombre = str(tmp_path), "prueba_meses"
+
+    def correr(v, as_of, **k):
+        params = Params(as_of=as_of)
+        r = retail(spark, v, params=params)
+        return publish.publicar_ventas_36m(r.int_ventas_elegibles, params, nombre, carpeta, **k)
+
+    def paths():
+        return publish._meses_publicados(spark, nombre)
+
+    lejos, abril, mayo = (dt.date(2021, 6, 5), dt.date(2024, 4, 30), dt.date(2024, 5, 2))
+    antes = [linea(fecha=d, gs=1.0) for d in (lejos, abril, mayo)]
+    assert correr(antes, dt.date(2024, 6, 15)).count() == 3
+    previos = paths()
+    assert set(previos) == {202106, 202404, 202405}
+
+    junio = dt.date(2024, 6, 20)
+    hoy = [linea(fecha=lejos), linea(fecha=abril, gs=9.0), linea(fecha=junio, gs=2.0)]
+    tabla = correr(hoy, dt.date(2024, 7, 15))
+    assert _filas(tabla) == [("100", "P", "3", 2024, 4, 1.0), ("100", "P", "3", 2024, 6, 2.0)]
+    assert set(paths()) == {202404, 202406} and paths()[202404] == previos[202404]
+
+    completa = correr(hoy, dt.date(2024, 7, 15), completa=True)
+    assert [f[-1] for f in _filas(completa)] == [9.0, 2.0]
+    assert correr([], dt.date(2024, 7, 15), completa=True).count() == 0
+    spark.sql(f"DROP VIEW {nombre}")
+
+
+def test_shared_lines_give_the_same_marts(spark):
+    v = [
+        linea(cliente=str(c), producto=p, pdv=x, factura=f"{c}{p}{n}", fecha=dt.date(2024, n, 1), gs=float(n))
+        for c in (1, 2) for p in "ab" for x in "35" for n in (1, 3, 6)
+    ]
+    r = retail(spark, v, [("a", 3, None, None), ("b", 3, None, None)], params=Params(as_of=P.as_of, top300_umbral_ventas_gs=0))
+    fijo = r.fijar_elegibles()
+    for nombre in ("top300_ranking", "dim_clientes_mayoristas", "dim_cliente_migracion_eventos"):
+        filas = _filas(getattr(fijo, nombre))
+        assert filas and filas == _filas(getattr(r, nombre))
