@@ -256,8 +256,7 @@ def multi_id_share(spark: SparkSession, carpeta: str) -> DataFrame:
 
 def _ventana_eventos(r: Retail) -> DataFrame:
     """Eligible lines of the months that events can fall into."""
-    inicio = r.params.inicio_ventana(r.params.meses_ventana_canibalizacion)
-    return sales.en_ventana(r.int_ventas_elegibles, inicio, r.params.corte)
+    return r.elegibles_ventana(r.params.meses_ventana_canibalizacion)
 
 
 def branches_per_raw_id(spark: SparkSession, carpeta: str) -> DataFrame:

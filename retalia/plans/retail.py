@@ -86,21 +86,33 @@ class Retail:
     def int_clientes_limpio(self) -> DataFrame:
         return customers.int_clientes_limpio(self.int_clientes_normalizados)
 
-    @cached_property
-    def int_ventas_elegibles(self) -> DataFrame:
-        if self.elegibles is not None:
-            return self.elegibles
+    def _elegibles(self, ventas: DataFrame) -> DataFrame:
         return sales.int_ventas_elegibles(
-            self.stg_ventas,
+            ventas,
             self.stg_productos,
             self.productos_excluidos,
             self.params,
             None if self.mapeo is None else staging.stg_clientes_mapeo(self.mapeo),
         )
 
+    @cached_property
+    def int_ventas_elegibles(self) -> DataFrame:
+        return self._elegibles(self.stg_ventas) if self.elegibles is None else self.elegibles
+
+    def elegibles_ventana(self, meses: int) -> DataFrame:
+        """Eligible lines of the last closed months; dates are looked at before ids."""
+        inicio, fin = self.params.inicio_ventana(meses), self.params.corte
+        if self.elegibles is not None:
+            return sales.en_ventana(self.elegibles, inicio, fin)
+        return self._elegibles(sales.en_ventana(self.stg_ventas, inicio, fin))
+
     @cached_property
     def int_ventas_12m(self) -> DataFrame:
-        return sales.int_ventas_12m(self.int_ventas_elegibles, self.params)
+        return self.elegibles_ventana(self.params.ventana_meses_12m)
+
+    @cached_property
+    def _ventas_largas(self) -> DataFrame:
+        return self.elegibles_ventana(self.params.meses_ventana_canibalizacion)
 
     def fijar_elegibles(self) -> Retail:
         """Write the eligible lines of the longest window once, for all that follows.
@@ -109,8 +121,6 @@ class Retail:
         join the fact again.
         """
         meses = max(self.params.meses_ventana_canibalizacion, self.params.ventana_meses_12m)
-        inicio = self.params.inicio_ventana(meses)
-        lineas = sales.en_ventana(self.int_ventas_elegibles, inicio, self.params.corte)
         return Retail(
             self.ventas,
             self.clientes,
@@ -120,7 +130,7 @@ class Retail:
             self.params,
             self.mapeo,
             self.ventas_36m,
-            asentar(lineas, "ventas-elegibles"),
+            asentar(self.elegibles_ventana(meses), "ventas-elegibles"),
         )
 
     # -- migration between branches --------------------------------------------
@@ -129,13 +139,13 @@ class Retail:
     def fct_ventas_36m(self) -> DataFrame:
         if self.ventas_36m is not None:
             return self.ventas_36m
-        return sales.fct_ventas_36m(self.int_ventas_elegibles, self.params)
+        return sales.fct_ventas_36m(self._ventas_largas, self.params)
 
     @cached_property
     def fct_ventas_36m_pivotado(self) -> DataFrame:
         ventas = self.ventas_36m
         if ventas is None:  # one grouping less than through the monthly table
-            ventas = sales.lineas_36m(self.int_ventas_elegibles, self.params)
+            ventas = sales.lineas_36m(self._ventas_largas, self.params)
         return migration.fct_ventas_36m_pivotado(ventas, self.sucursales, self.stg_clientes_limpio)
 
     @cached_property
@@ -165,17 +175,17 @@ class Retail:
 
     @cached_property
     def int_top300_kpis(self) -> DataFrame:
-        return products.int_top300_kpis(self.int_ventas_elegibles, self.params)
+        return products.int_top300_kpis(self.int_ventas_12m, self.params)
 
     @cached_property
     def top300_ranking(self) -> DataFrame:
-        return products.top300_ranking(self.int_ventas_elegibles, self.params)
+        return products.top300_ranking(self.int_ventas_12m, self.params)
 
     # -- wholesale customers ---------------------------------------------------
 
     @cached_property
     def tickets_por_cliente(self) -> DataFrame:
-        return wholesale.tickets_por_cliente(self.int_ventas_elegibles, self.params)
+        return wholesale.tickets_por_cliente(self.int_ventas_12m, self.params)
 
     @cached_property
     def int_mayoristas_umbral_ticket_grande(self) -> DataFrame:
