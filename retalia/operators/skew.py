@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALES_DE_GRUPO = 64  # salts per group of statistics
@@ -129,6 +129,7 @@ def percentiles_exactos(
         adjuntar_por_grupo(filas, bandas, grupo, "_v")
         .groupBy(*grupo, bandas_debajo.alias("_hueco"), F.when(dentro, v).alias("_valor"))
         .agg(F.count("_v").alias("_c"), F.max("_v").alias("_v"), F.max("_n").alias("_n"))
+        .withColumn("_dentro", F.col("_valor").isNotNull())
     )
 
     hasta_aqui = Window.partitionBy(*(grupo or [F.lit(0)])).orderBy("_v").rowsBetween(
@@ -136,8 +137,16 @@ def percentiles_exactos(
     )
     contadas = reducidas.withColumn("_acum", F.sum("_c").over(hasta_aqui))
 
-    def orden(posicion):
-        return F.min(F.when(F.col("_acum") > posicion, v))
+    def orden(posicion: Column) -> Column:
+        """The value at a position, and whether it is one and not a reduced range."""
+        return F.min(F.when(F.col("_acum") > posicion, F.struct("_v", "_dentro")))
+
+    def interpolado(n: str) -> Column:
+        a, b = F.col(f"_a_{n}"), F.col(f"_b_{n}")
+        exacto = a["_v"] + (b["_v"] - a["_v"]) * F.col(f"_f_{n}")
+        # The band holds both order statistics by the bound of the sketch; never guess.
+        fuera = F.raise_error(F.lit("percentile outside its band")).cast("double")
+        return F.when(a.isNull(), F.lit(None)).when(a["_dentro"] & b["_dentro"], exacto).otherwise(fuera)
 
     agregados = []
     for n in nombres:
@@ -150,11 +159,5 @@ def percentiles_exactos(
     return (
         contadas.groupBy(*grupo)
         .agg(*agregados)
-        .select(
-            *grupo,
-            *[
-                (F.col(f"_a_{n}") + (F.col(f"_b_{n}") - F.col(f"_a_{n}")) * F.col(f"_f_{n}")).alias(n)
-                for n in nombres
-            ],
-        )
+        .select(*grupo, *[interpolado(n).alias(n) for n in nombres])
     )

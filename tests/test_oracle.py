@@ -21,6 +21,9 @@ def test_every_query_has_a_counterpart():
 def test_query(spark, con, nombre):
     df = entrada.queries()[nombre](spark, CARPETA)
     assert diferencia(df, con, entrada.oracle_sql()[nombre]) == ""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for malo in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
+        assert malo not in plan
 
 
 def test_entry(spark):

@@ -125,6 +125,12 @@ def test_longer_windows_count_every_day(spark):
     assert {x.dias_con_ventas for x in filas} == {sum(d < dt.date(2024, 7, 1) for d in dias)}
 
 
+def test_best_rows_are_cut_before_the_shuffle(spark):
+    plan = retail(spark, [linea()], params=P).top300_ranking._jdf.queryExecution().executedPlan().toString()
+    antes, despues = plan.split("Exchange hashpartitioning(ambito", 1)
+    assert "WindowGroupLimit" in antes and "WindowGroupLimit" in despues
+
+
 def test_measures_read_the_fact_once(spark, tmp_path):
     from retalia.operators.products import medidas_por_producto
     from retalia.sources import schemas

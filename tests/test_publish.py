@@ -102,6 +102,11 @@ def test_table_is_swapped_not_overwritten(spark, tmp_path):
     spark.sql("DROP VIEW prueba_tabla")
 
 
+def test_months_are_rebalanced_before_writing(spark):
+    df = spark.range(10).selectExpr("id % 3 AS periodo", "id").hint("rebalance", "periodo")
+    assert "REBALANCE_PARTITIONS_BY_COL" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_view(spark):
     publish.publicar_vista(_hoy(spark, ("a", "1")), "prueba_vista")
     assert spark.table("prueba_vista").count() == 1

@@ -58,6 +58,15 @@ def test_percentiles_with_narrow_bands(spark, monkeypatch, semilla):
     assert total.m == pytest.approx(np.median(todos), rel=1e-12)
 
 
+def test_a_missed_band_is_an_error_not_a_guess(spark, monkeypatch):
+    monkeypatch.setattr(skew, "_GRUPO_CHICO", 10)
+    monkeypatch.setattr(skew, "_PRECISION", 3)
+    monkeypatch.setattr(skew, "_BANDA", 1e-6)
+    df = spark.range(0, 20_000, 1, 8).select(F.hash("id").cast("double").alias("v"))
+    with pytest.raises(Exception, match="outside its band"):
+        skew.percentiles_exactos(df, [], "v", {"q1": 0.25, "q3": 0.75}).collect()
+
+
 def test_group_statistics_reach_every_row(spark):
     filas = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", 4)], "g string, x int")
     stats = filas.groupBy("g").agg(F.max("x").alias("mx"))
