@@ -9,6 +9,7 @@ from retalia.functions.ids import limpiar_id
 from retalia.operators.customers import ids_huerfanos
 from retalia.operators.migration import TIPOS_EVENTO
 from retalia.operators.quality import ids_por_cliente
+from retalia.operators.skew import join_repartido
 
 # Event types that the merging analyses compare.
 TIPOS_NUEVO = ["Nuevo - Dual", "Nuevo - Unico"]
@@ -210,7 +211,12 @@ def ventas_por_id_crudo(
     events, so neither a busy customer nor the fact itself is shuffled by customer.
     """
     presencia = (
-        elegibles.join(sucursales.select("pdv_id", "sucursal_codigo"), "pdv_id")
+        join_repartido(
+            elegibles,
+            sucursales.select("pdv_id", "sucursal_codigo"),
+            "pdv_id",
+            ["cliente_id", "fecha_venta"],
+        )
         .select(
             F.col("cliente_id").alias("cliente_id_crudo"),
             "cliente_id_limpio",

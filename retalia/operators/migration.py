@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from retalia.functions.numbers import exacto
 from retalia.functions.periods import mes_absoluto, meses_entre_periodos, periodo
+from retalia.operators.skew import join_repartido
 from retalia.params import Params
 
 # Branch codes, in the order in which labels name them.
@@ -44,7 +45,12 @@ def fct_ventas_36m_pivotado(
     ``ventas_36m`` is the monthly table where one is kept, or else the lines of its
     window (``sales.lineas_36m``), whose exact sums are the same.
     """
-    de_sucursal = ventas_36m.join(sucursales.select("pdv_id", "sucursal_codigo"), "pdv_id")
+    de_sucursal = join_repartido(
+        ventas_36m,
+        sucursales.select("pdv_id", "sucursal_codigo"),
+        "pdv_id",
+        ["cliente_id_limpio", "anio", "mes"],
+    )
     montos = de_sucursal.groupBy("cliente_id_limpio", "anio", "mes").agg(
         *[
             F.sum(F.when(F.col("sucursal_codigo") == s, exacto("total_ventas")).otherwise(0))

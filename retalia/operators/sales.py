@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from retalia.functions import ids
 from retalia.functions.numbers import exacto
 from retalia.functions.text import contiene
-from retalia.operators.skew import semi_join_repartido
+from retalia.operators.skew import join_repartido
 from retalia.params import Params
 
 _LARGO_MAPEO = 50  # width of both ids in the mapping
@@ -65,8 +65,8 @@ def int_ventas_elegibles(
             F.coalesce("cliente_id_limpio", F.lit("")) != params.cliente_prueba
         )
     validos = productos_validos(productos, excluidos, params)
-    return semi_join_repartido(
-        con_cliente, validos, "producto_id", ["cliente_id", "fecha_venta", "factura_nro"]
+    return join_repartido(
+        con_cliente, validos, "producto_id", ["cliente_id", "fecha_venta", "factura_nro"], "left_semi"
     ).select(
         "cliente_id",
         "cliente_id_limpio",

@@ -25,10 +25,10 @@ def cabe_en_broadcast(df: DataFrame) -> bool:
     return int(str(tamano)) <= limite
 
 
-def semi_join_repartido(
-    filas: DataFrame, lista: DataFrame, clave: str, repartir_por: list[str]
+def join_repartido(
+    filas: DataFrame, lista: DataFrame, clave: str, repartir_por: list[str], como: str = "inner"
 ) -> DataFrame:
-    """Rows whose ``clave`` is in ``lista``.
+    """Join rows with a list of keys: ``inner`` or ``left_semi``.
 
     A list within the broadcast limit is joined as it is (no shuffle of the rows).  A
     bigger one is repeated for every salt and met on key and salt: a hot key spreads
@@ -36,12 +36,12 @@ def semi_join_repartido(
     the key behind the join cannot take over the join's partitioning.
     """
     if cabe_en_broadcast(lista):
-        return filas.join(lista, clave, "left_semi")
+        return filas.join(lista, clave, como)
     sales = F.explode(F.sequence(F.lit(0), F.lit(SALES_DE_CLAVE - 1)))
     sal = F.pmod(F.hash(*repartir_por), F.lit(SALES_DE_CLAVE))
     return (
         filas.withColumn("_sal", sal)
-        .join(lista.select(clave, sales.alias("_sal")), [clave, "_sal"], "left_semi")
+        .join(lista.select("*", sales.alias("_sal")), [clave, "_sal"], como)
         .drop("_sal")
     )
 

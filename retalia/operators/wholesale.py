@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from retalia.functions.numbers import exacto, razon
 from retalia.functions.periods import contar_dias, marca_dia, mascaras_dias, unir_mascaras
-from retalia.operators.skew import adjuntar_por_grupo, percentiles_exactos
+from retalia.operators.skew import adjuntar_por_grupo, join_repartido, percentiles_exactos
 from retalia.operators.sales import int_ventas_12m
 from retalia.params import Params
 from retalia.sources.workspace import asentar
@@ -69,9 +69,11 @@ def int_mayoristas_metricas_cliente(
     """
     meses = params.ventana_meses_12m
     tickets = tickets.where(F.col("cliente_id_limpio").isNotNull())
-    de_sucursal = (
-        tickets.join(sucursales.select("pdv_id", "sucursal_codigo"), "pdv_id")
-        .withColumnRenamed("sucursal_codigo", "ambito")
+    de_sucursal = join_repartido(
+        tickets,
+        sucursales.select("pdv_id", F.col("sucursal_codigo").alias("ambito")),
+        "pdv_id",
+        ["cliente_id_limpio", "ticket_id"],
     )
     por_ticket = (
         tickets.withColumn("ambito", F.lit("GLOBAL"))

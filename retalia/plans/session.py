@@ -12,7 +12,6 @@ AJUSTES = {
     # reuse its partitioning; splitting the hot partition is worth the extra shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
