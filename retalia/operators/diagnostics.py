@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retalia.functions.ids import limpiar_id
-from retalia.operators.customers import ids_huerfanos
 from retalia.operators.migration import TIPOS_EVENTO
 from retalia.operators.quality import ids_por_cliente
 from retalia.operators.skew import join_repartido
