@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retalia.llm.mixing import op9_mixing
 from retalia.llm.sharding import op4_sharding
+from retalia.llm.simhash import op1_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op4_sharding": op4_sharding,
     "op9_mixing": op9_mixing,
 }
