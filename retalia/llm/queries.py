@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from retalia.llm.mixing import op9_mixing
+from retalia.llm.packing import op2_packing
 from retalia.llm.quality import op7_quality
 from retalia.llm.sharding import op4_sharding
 from retalia.llm.simhash import op1_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_packing": op2_packing,
     "op4_sharding": op4_sharding,
     "op7_quality": op7_quality,
     "op9_mixing": op9_mixing,
