@@ -11,6 +11,7 @@ from retalia.llm.packing import op2_packing
 from retalia.llm.quality import op7_quality
 from retalia.llm.sharding import op4_sharding
 from retalia.llm.simhash import op1_simhash
+from retalia.llm.topk import TOPK_SQL, op10_topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
@@ -18,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op7_quality": op7_quality,
     "op9_mixing": op9_mixing,
+    "op10_topk": op10_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_topk": TOPK_SQL,
+}
