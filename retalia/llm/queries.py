@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from retalia.llm.embeddings import EMBEDDINGS_SQL, op6_embeddings
 from retalia.llm.mixing import op9_mixing
 from retalia.llm.packing import op2_packing
 from retalia.llm.quality import op7_quality
@@ -17,11 +18,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op4_sharding": op4_sharding,
+    "op6_embeddings": op6_embeddings,
     "op7_quality": op7_quality,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_embeddings": EMBEDDINGS_SQL,
     "op10_topk": TOPK_SQL,
 }
