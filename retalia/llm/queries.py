@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from retalia.llm.embeddings import EMBEDDINGS_SQL, op6_embeddings
+from retalia.llm.language import op5_language
 from retalia.llm.mixing import op9_mixing
 from retalia.llm.packing import op2_packing
 from retalia.llm.quality import op7_quality
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op4_sharding": op4_sharding,
+    "op5_language": op5_language,
     "op6_embeddings": op6_embeddings,
     "op7_quality": op7_quality,
     "op9_mixing": op9_mixing,
