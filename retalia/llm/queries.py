@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retalia.llm.embeddings import EMBEDDINGS_SQL, op6_embeddings
 from retalia.llm.language import op5_language
+from retalia.llm.lm import op8_lm_scoring
 from retalia.llm.mixing import op9_mixing
 from retalia.llm.packing import op2_packing
 from retalia.llm.quality import op7_quality
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language": op5_language,
     "op6_embeddings": op6_embeddings,
     "op7_quality": op7_quality,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
 }
