@@ -14,11 +14,13 @@ from retalia.llm.packing import op2_packing
 from retalia.llm.quality import op7_quality
 from retalia.llm.sharding import op4_sharding
 from retalia.llm.simhash import op1_simhash
+from retalia.llm.substrings import op3_substrings
 from retalia.llm.topk import TOPK_SQL, op10_topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op3_substrings": op3_substrings,
     "op4_sharding": op4_sharding,
     "op5_language": op5_language,
     "op6_embeddings": op6_embeddings,
