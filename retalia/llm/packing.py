@@ -38,11 +38,23 @@ from retalia.llm.common import stored, table
 
 LENGTH = 2048
 CLOSING_ID = 0
-WORDS_KEPT = 400_000  # words whose ids a worker remembers
+WORDS_KEPT = 1_000_000  # words whose ids a worker remembers
+MARKS = ".,!?;:%&$#*"  # marks that are split off the end of a word before it is tokenized
 
 _memory: dict[str, tuple] = {}
 
 
+def _parts(word: str) -> tuple[str, str]:
+    """A word as what is tokenized alone and the marks behind it; the ids are those of both, in order.
+
+    The tokenizer parts marks from letters and digits, and it lowers case.
+    """
+    stem = word.rstrip(MARKS)
+    if not stem or not stem[-1].lower().isalnum():
+        stem = word
+    return (stem.lower() if stem.isascii() else stem), word[len(stem) :]
+
+
 def _ids_of(tokenizer_file: str):
     """Text to little-endian 32-bit ids.
 
@@ -58,13 +70,16 @@ def _ids_of(tokenizer_file: str):
 
     def ids(text: str) -> bytes:
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) + len(new) > WORDS_KEPT:
+        different = set(words)
+        if any(w not in known for w in different):
+            if len(known) > WORDS_KEPT:
                 known.clear()
-                new = list(set(words))
-            for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+            parts = {w: _parts(w) for w in different if w not in known}
+            new = list({p for both in parts.values() for p in both if p not in known})
+            for p, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                known[p] = np.array(e.ids, "<u4").tobytes()
+            for w, (stem, marks) in parts.items():
+                known[w] = known[stem] + known[marks]
         return b"".join(map(known.__getitem__, words))
 
     return ids
