@@ -190,10 +190,10 @@ def keep_first(docs: DataFrame, shingle: int = 5, words64: int = 8, radius: int
     found = near_duplicates(docs.select("doc_id", "text"), shingle, words64, radius)
     kept = found.filter("id = first_id AND text_hash = first_hash").select("id", "text_hash").distinct()
     kept = stored(kept, "simhash-kept")
-    key = {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_hash": F.xxhash64(F.coalesce(F.col("text"), F.lit("")))}
-    out = docs.withColumns(key)
-    out = out.join(kept, (out["_id"] == kept["id"]) & (out["_hash"] == kept["text_hash"]), "left_semi")
-    return out.dropDuplicates(["_id", "_hash"]).drop("_id", "_hash")
+    ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id")
+    text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash")
+    rows = docs.select(F.struct("*").alias("row"), ident, text_hash)
+    return rows.join(kept, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"]).select("row.*")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
