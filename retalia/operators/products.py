@@ -46,32 +46,34 @@ _TRAMOS = ["tickets_1_2", "tickets_3_5", "tickets_6_mas"]
 def medidas_por_producto(ventas_12m: DataFrame, params: Params) -> DataFrame:
     """All measures of a (scope, product), in one pass over the lines.
 
-    Both scopes of a line are emitted next to each other, and the lines are grouped to
-    (scope, product, ticket) first.  Distinct tickets are then a plain count, the
-    ticket-size buckets a conditional count, and distinct days travel as bit masks, so
-    nothing needs COUNT(DISTINCT), a second scan or a self-join.  Either grouping is
-    combined before its shuffle, and a product that holds a third of the lines is
-    spread over its tickets.
+    Lines go through one shuffle, on (product, ticket), with a date and not with day
+    masks.  Behind it they are grouped to (point of sale, product, ticket) and from
+    there to (product, ticket), both on that partitioning; only then the scopes are put
+    together.  Distinct tickets are a plain count, the ticket-size buckets a conditional
+    count, and distinct days travel as bit masks, so nothing needs COUNT(DISTINCT) or a
+    self-join.  A product that holds a third of the lines is spread over its tickets.
     """
     meses = params.ventana_meses_12m
-    por_ticket = (
+    lineas = (
         int_ventas_12m(ventas_12m, params)
         .select(
-            F.col("pdv_id").cast("string").alias("_pdv"),
+            F.col("pdv_id").cast("string").alias("ambito"),
             "producto_id",
             "ticket_id",
             exacto("unidades").alias("unidades"),
             exacto("venta_gs").alias("venta_gs"),
-            *marca_dia(F.col("fecha_venta"), params.inicio_ventana(meses)),
+            "fecha_venta",
         )
-        .select("*", F.explode(F.array(F.lit("GLOBAL"), F.col("_pdv"))).alias("ambito"))
+        .repartition("producto_id", "ticket_id")
+    )
+    sumas = [F.sum("unidades").alias("unidades"), F.sum("venta_gs").alias("venta_gs")]
+    de_pdv = (
+        lineas.select("*", *marca_dia(F.col("fecha_venta"), params.inicio_ventana(meses)))
         .groupBy("ambito", "producto_id", "ticket_id")
-        .agg(
-            F.sum("unidades").alias("unidades"),
-            F.sum("venta_gs").alias("venta_gs"),
-            *mascaras_dias(meses),
-        )
+        .agg(*sumas, *mascaras_dias(meses))
     )
+    global_ = de_pdv.groupBy("producto_id", "ticket_id").agg(*sumas, *unir_mascaras(meses))
+    por_ticket = de_pdv.unionByName(global_.withColumn("ambito", F.lit("GLOBAL")))
     u = F.col("unidades")
     return (
         por_ticket.groupBy("ambito", "producto_id")
@@ -91,17 +93,21 @@ def medidas_por_producto(ventas_12m: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def _normalizadas(ventas_12m: DataFrame, params: Params) -> DataFrame:
-    """Measures above the sales threshold with their 0..100 scores per scope.
+def medidas_sobre_umbral(ventas_12m: DataFrame, params: Params) -> DataFrame:
+    """Measures above the sales threshold, written once for the scores and the ranking."""
+    medidas = medidas_por_producto(ventas_12m, params)
+    return asentar(
+        medidas.where(F.col("ventas") > F.lit(float(params.top300_umbral_ventas_gs))), "top300-medidas"
+    )
+
+
+def _normalizadas(sobre_umbral: DataFrame) -> DataFrame:
+    """Measures with their 0..100 scores per scope.
 
-    The measures are read twice (extremes, rows), so they are written once.  The
+    ``sobre_umbral`` (:func:`medidas_sobre_umbral`) is read twice (extremes, rows).  The
     smallest logarithm of a scope is ln 1 = 0 and the largest that of its largest
     value, so one aggregate per scope is all that normalising needs.
     """
-    medidas = medidas_por_producto(ventas_12m, params)
-    sobre_umbral = asentar(
-        medidas.where(F.col("ventas") > F.lit(float(params.top300_umbral_ventas_gs))), "top300-medidas"
-    )
     extremos = sobre_umbral.groupBy("ambito").agg(
         *[F.min(m).alias(f"_min_{m}") for m in _METRICAS],
         *[F.max(m).alias(f"_max_{m}") for m in _METRICAS],
@@ -121,13 +127,15 @@ def _normalizadas(ventas_12m: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def int_top300_kpis(ventas_12m: DataFrame, params: Params) -> DataFrame:
-    return _normalizadas(ventas_12m, params).select(*_KPIS, *_NORMAS)
+def int_top300_kpis(medidas: DataFrame) -> DataFrame:
+    return _normalizadas(medidas).select(*_KPIS, *_NORMAS)
 
 
-def top300_ranking(ventas_12m: DataFrame, params: Params) -> DataFrame:
+def top300_ranking(medidas: DataFrame, params: Params) -> DataFrame:
     """The best products of each scope with score, position and ticket-size buckets.
 
+    ``medidas`` is :func:`medidas_sobre_umbral`.
+
     The window keeps at most ``top300_posiciones`` rows per scope; Spark applies that
     limit in every input partition before it shuffles by scope.
     """
@@ -142,7 +150,7 @@ def top300_ranking(ventas_12m: DataFrame, params: Params) -> DataFrame:
         F.desc("puntaje_final"), F.desc("ventas"), F.asc("producto_id")
     )
     return (
-        _normalizadas(ventas_12m, params)
+        _normalizadas(medidas)
         .withColumn("puntaje_final", F.round(puntaje, DECIMALES_PUNTAJE))
         .withColumn("posicion", F.row_number().over(orden))
         .where(F.col("posicion") <= params.top300_posiciones)

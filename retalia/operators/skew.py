@@ -2,9 +2,9 @@
 
 A scope such as ``GLOBAL``, or a best-selling product, must not end up in one task.
 Windows over such a key and joins that are hashed on it alone do exactly that, so
-statistics are aggregated (with partial aggregation) and brought back by a join on key
-*and* salt, and lists of keys are met the same way unless they are small enough for
-Catalyst to broadcast.
+statistics are aggregated (with partial aggregation) and brought back by a join.  The
+small side of a join is written and its rows are counted: up to ``FILAS_DIFUNDIBLES``
+of them are broadcast, more are met on key *and* salt.
 """
 
 from __future__ import annotations
@@ -14,15 +14,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALES_DE_GRUPO = 64  # salts per group of statistics
-SALES_DE_CLAVE = 16  # copies of a list of keys; AQE splits further by measured size
+from retalia.sources.workspace import asentar
 
+SALES_DE_GRUPO = 64  # salts per group of statistics beyond the broadcast limit
+SALES_DE_CLAVE = 16  # copies of a list of keys beyond it; AQE splits further by measured size
+FILAS_DIFUNDIBLES = 200_000  # counted rows of a few short columns: some 10 MB
 
-def cabe_en_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's own estimate of the size is within its broadcast limit."""
-    limite = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    tamano = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(tamano)) <= limite
+
+def medida(df: DataFrame, nombre: str) -> tuple[DataFrame, bool]:
+    """``df`` written once, and whether its counted rows are few enough to broadcast."""
+    escrita = asentar(df, nombre)
+    return escrita, escrita.count() <= FILAS_DIFUNDIBLES
 
 
 def join_repartido(
@@ -30,13 +32,14 @@ def join_repartido(
 ) -> DataFrame:
     """Join rows with a list of keys: ``inner`` or ``left_semi``.
 
-    A list within the broadcast limit is joined as it is (no shuffle of the rows).  A
-    bigger one is repeated for every salt and met on key and salt: a hot key spreads
-    over ``SALES_DE_CLAVE`` partitions, each of which AQE may split, and a grouping by
-    the key behind the join cannot take over the join's partitioning.
+    A list of few rows is broadcast (no shuffle of the rows).  A bigger one is repeated
+    for every salt and met on key and salt: a hot key spreads over ``SALES_DE_CLAVE``
+    partitions, each of which AQE may split, and a grouping by the key behind the join
+    cannot take over the join's partitioning.
     """
-    if cabe_en_broadcast(lista):
-        return filas.join(lista, clave, como)
+    lista, cabe = medida(lista, "lista-claves")
+    if cabe:
+        return filas.join(F.broadcast(lista), clave, como)
     sales = F.explode(F.sequence(F.lit(0), F.lit(SALES_DE_CLAVE - 1)))
     sal = F.pmod(F.hash(*repartir_por), F.lit(SALES_DE_CLAVE))
     return (
@@ -51,113 +54,81 @@ def adjuntar_por_grupo(
 ) -> DataFrame:
     """Add the columns of ``stats`` (one row per group) to every row of its group.
 
-    Group columns match null-safe.  Rows of a group spread over ``SALES_DE_GRUPO``
-    join keys by the hash of ``repartir_por``; the few rows of ``stats`` are repeated
-    for each.  Whether they are broadcast is left to their measured size.
+    Group columns match null-safe.  Few statistics are broadcast, so the rows stay where
+    they are.  Of many, each row is repeated for ``SALES_DE_GRUPO`` salts, and the rows
+    of a group spread over them by the hash of ``repartir_por``.
     """
     if not grupo:  # an aggregate without keys has one row: a scalar subquery, run once
         unica = stats.select(F.struct(*stats.columns)).scalar()
         return filas.select("*", *[unica.getField(c).alias(c) for c in stats.columns])
+    stats, cabe = medida(stats, "estadisticas")
     copias = stats.select(
-        *[F.col(g).alias(f"_g_{g}") for g in grupo],
-        *[c for c in stats.columns if c not in grupo],
-        F.explode(F.sequence(F.lit(0), F.lit(SALES_DE_GRUPO - 1))).alias("_sal_stats"),
+        *[F.col(g).alias(f"_g_{g}") for g in grupo], *[c for c in stats.columns if c not in grupo]
     )
+    if cabe:
+        iguales = [filas[g].eqNullSafe(copias[f"_g_{g}"]) for g in grupo]
+        unidas = filas.join(F.broadcast(copias), reduce(lambda a, b: a & b, iguales))
+        return unidas.drop(*[f"_g_{g}" for g in grupo])
+    copias = copias.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALES_DE_GRUPO - 1))).alias("_sal_stats"))
     saladas = filas.withColumn("_sal", F.pmod(F.hash(repartir_por), F.lit(SALES_DE_GRUPO)))
     iguales = [saladas[g].eqNullSafe(copias[f"_g_{g}"]) for g in grupo]
     condicion = reduce(lambda a, b: a & b, iguales, saladas["_sal"] == copias["_sal_stats"])
     return saladas.join(copias, condicion).drop("_sal", "_sal_stats", *[f"_g_{g}" for g in grupo])
 
 
-# The sketch of percentile_approx is off by at most 1/accuracy of the rows.  A band of
-# ten times that on both sides of the wanted rank contains both order statistics that
-# the percentile lies between, once a group has enough rows; smaller groups keep all
-# their values.
-_PRECISION = 10_000
-_BANDA = 10 / _PRECISION
-_GRUPO_CHICO = 100_000
-
-
 def percentiles_exactos(
     df: DataFrame, grupo: list[str], valor: str, cuantiles: dict[str, float]
 ) -> DataFrame:
-    """Exact interpolated percentiles per group, without gathering a group.
+    """Exact interpolated percentiles per group, without gathering a group; one way for all sizes.
 
-    1. a mergeable sketch gives, per group and percentile, a band of values around the
-       wanted rank;
-    2. values outside the bands are reduced to counts, values inside to distinct
-       values with counts, all with partial aggregation;
-    3. a running count over what is left (about 0.2 % of a big group) finds the order
-       statistics, which are interpolated linearly.
+    1. values are reduced to distinct values with counts (partial aggregation);
+    2. these are range-partitioned by group and value, and written with their part;
+    3. the parts' totals, a row for each group in each part, say which part of a group
+       holds each wanted rank;
+    4. a running count inside those parts finds the order statistics, which are
+       interpolated linearly.
 
     NULLs are ignored; a group of NULLs only gets no row.
     """
-    nombres = list(cuantiles)
     filas = df.select(*grupo, F.col(valor).alias("_v")).where(F.col("_v").isNotNull())
-
-    sondas = [
-        max(0.0, min(1.0, cuantiles[n] + lado)) for n in nombres for lado in (-_BANDA, _BANDA)
-    ]
-    total = filas.groupBy(*grupo).agg(
-        F.count("_v").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", sondas, _PRECISION).alias("_sondas"),
-    )
-    chico = F.col("_n") <= _GRUPO_CHICO
-    bandas = total.select(
-        *grupo,
-        "_n",
-        *[
-            F.when(chico, F.col("_max" if lado else "_min"))
-            .otherwise(F.col("_sondas")[2 * i + lado])
-            .alias(f"_{'hasta' if lado else 'desde'}_{i}")
-            for i in range(len(nombres))
-            for lado in (0, 1)
-        ],
+    distintos = filas.groupBy(*grupo, "_v").agg(F.count("_v").alias("_c"))
+    por_rango = distintos.repartitionByRange(*grupo, "_v").withColumn("_parte", F.spark_partition_id())
+    por_rango = asentar(por_rango, "percentiles-valores")
+
+    del_grupo = Window.partitionBy(*(grupo or [F.lit(0)]))
+    antes = del_grupo.orderBy("_parte").rowsBetween(Window.unboundedPreceding, -1)
+    partes = (
+        por_rango.groupBy(*grupo, "_parte")
+        .agg(F.sum("_c").alias("_t"))
+        .withColumn("_antes", F.coalesce(F.sum("_t").over(antes), F.lit(0)))
+        .withColumn("_n", F.sum("_t").over(del_grupo))
     )
 
-    v = F.col("_v")
-    dentro = reduce(
-        lambda a, b: a | b,
-        [v.between(F.col(f"_desde_{i}"), F.col(f"_hasta_{i}")) for i in range(len(nombres))],
-    )
-    bandas_debajo = reduce(
-        lambda a, b: a + b, [(v > F.col(f"_hasta_{i}")).cast("int") for i in range(len(nombres))]
-    )
-    reducidas = (
-        adjuntar_por_grupo(filas, bandas, grupo, "_v")
-        .groupBy(*grupo, bandas_debajo.alias("_hueco"), F.when(dentro, v).alias("_valor"))
-        .agg(F.count("_v").alias("_c"), F.max("_v").alias("_v"), F.max("_n").alias("_n"))
-        .withColumn("_dentro", F.col("_valor").isNotNull())
-    )
+    def rangos(n: str) -> tuple[Column, Column]:
+        posicion = F.lit(cuantiles[n]) * (F.col("_n") - 1)
+        return F.floor(posicion), F.ceil(posicion)
 
-    hasta_aqui = Window.partitionBy(*(grupo or [F.lit(0)])).orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, 0
+    buscados = [r for n in cuantiles for r in rangos(n)]
+    tiene = [(r >= F.col("_antes")) & (r < F.col("_antes") + F.col("_t")) for r in buscados]
+    con_rango = partes.where(reduce(lambda a, b: a | b, tiene)).drop("_t")
+    con_rango, cabe = medida(
+        con_rango.select(*[F.col(g).alias(f"_g_{g}") for g in grupo], F.col("_parte").alias("_p"), "_antes", "_n"),
+        "percentiles-partes",
     )
-    contadas = reducidas.withColumn("_acum", F.sum("_c").over(hasta_aqui))
-
-    def orden(posicion: Column) -> Column:
-        """The value at a position, and whether it is one and not a reduced range."""
-        return F.min(F.when(F.col("_acum") > posicion, F.struct("_v", "_dentro")))
-
-    def interpolado(n: str) -> Column:
-        a, b = F.col(f"_a_{n}"), F.col(f"_b_{n}")
-        exacto = a["_v"] + (b["_v"] - a["_v"]) * F.col(f"_f_{n}")
-        # The band holds both order statistics by the bound of the sketch; never guess.
-        fuera = F.raise_error(F.lit("percentile outside its band")).cast("double")
-        return F.when(a.isNull(), F.lit(None)).when(a["_dentro"] & b["_dentro"], exacto).otherwise(fuera)
-
-    agregados = []
-    for n in nombres:
-        pos = F.lit(cuantiles[n]) * (F.col("_n") - 1)
+    iguales = [por_rango[g].eqNullSafe(con_rango[f"_g_{g}"]) for g in grupo]
+    condicion = reduce(lambda a, b: a & b, iguales, por_rango["_parte"] == con_rango["_p"])
+    dentro = por_rango.join(F.broadcast(con_rango) if cabe else con_rango, condicion)
+    hasta_aqui = Window.partitionBy(*grupo, "_parte").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    contadas = dentro.withColumn("_acum", F.col("_antes") + F.sum("_c").over(hasta_aqui))
+
+    agregados, salida = [], []
+    for n in cuantiles:
+        abajo, arriba = rangos(n)
         agregados += [
-            orden(F.floor(pos)).alias(f"_a_{n}"),
-            orden(F.ceil(pos)).alias(f"_b_{n}"),
-            F.max(pos - F.floor(pos)).alias(f"_f_{n}"),
+            F.min(F.when(F.col("_acum") > abajo, F.col("_v"))).alias(f"_a_{n}"),
+            F.min(F.when(F.col("_acum") > arriba, F.col("_v"))).alias(f"_b_{n}"),
+            F.max(F.lit(cuantiles[n]) * (F.col("_n") - 1) - abajo).alias(f"_f_{n}"),
         ]
-    return (
-        contadas.groupBy(*grupo)
-        .agg(*agregados)
-        .select(*grupo, *[interpolado(n).alias(n) for n in nombres])
-    )
+        a, b = F.col(f"_a_{n}"), F.col(f"_b_{n}")
+        salida.append((a + (b - a) * F.col(f"_f_{n}")).alias(n))
+    return contadas.groupBy(*grupo).agg(*agregados).select(*grupo, *salida)

@@ -68,22 +68,20 @@ def int_mayoristas_metricas_cliente(
     for sales and days only; a customer with no other ticket has no row.
     """
     meses = params.ventana_meses_12m
-    tickets = tickets.where(F.col("cliente_id_limpio").isNotNull())
+    # One exchange; both scopes are grouped on its partitioning.
+    tickets = tickets.where(F.col("cliente_id_limpio").isNotNull()).repartition("cliente_id_limpio", "ticket_id")
     de_sucursal = join_repartido(
         tickets,
         sucursales.select("pdv_id", F.col("sucursal_codigo").alias("ambito")),
         "pdv_id",
         ["cliente_id_limpio", "ticket_id"],
     )
+    sumas = [F.sum("unidades").alias("unidades"), F.sum("venta_gs").alias("venta_gs"), *unir_mascaras(meses)]
     por_ticket = (
-        tickets.withColumn("ambito", F.lit("GLOBAL"))
-        .unionByName(de_sucursal)
-        .groupBy("ambito", "cliente_id_limpio", "ticket_id")
-        .agg(
-            F.sum("unidades").alias("unidades"),
-            F.sum("venta_gs").alias("venta_gs"),
-            *unir_mascaras(meses),
-        )
+        tickets.groupBy("cliente_id_limpio", "ticket_id")
+        .agg(*sumas)
+        .withColumn("ambito", F.lit("GLOBAL"))
+        .unionByName(de_sucursal.groupBy("ambito", "cliente_id_limpio", "ticket_id").agg(*sumas))
     )
     u = F.col("unidades")
     corte = umbral.select("umbral_ticket_grande").scalar()  # one row, run once as a subquery

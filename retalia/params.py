@@ -19,6 +19,7 @@ class Params:
     # Defaults of the business rules.
     id_empresa: int = 3
     cliente_prueba: str = "44444401"
+    largo_mapeo: int = 50  # width of both ids in the mapping; lines of wider ids are dropped
     categoria_2_excluida: tuple[str, ...] = ("bolsa",)
     categoria_1_excluida: tuple[str, ...] = ("egre", "servi")
     meses_ventana_canibalizacion: int = 36

@@ -148,14 +148,18 @@ class Retail:
             ventas = sales.lineas_36m(self._ventas_largas, self.params)
         return migration.fct_ventas_36m_pivotado(ventas, self.sucursales, self.stg_clientes_limpio)
 
+    @cached_property
+    def _pivotado_escrito(self) -> DataFrame:
+        """The pivot, written once for the states and the events."""
+        return asentar(self.fct_ventas_36m_pivotado, "ventas-36m-pivotado")
+
     @cached_property
     def dim_cliente_tipo_migracion(self) -> DataFrame:
-        return migration.dim_cliente_tipo_migracion(self.fct_ventas_36m_pivotado)
+        return migration.dim_cliente_tipo_migracion(self._pivotado_escrito)
 
     @cached_property
     def int_canibalizacion_migracion_base(self) -> DataFrame:
-        pivotado = asentar(self.fct_ventas_36m_pivotado, "ventas-36m-pivotado")
-        return migration.int_canibalizacion_migracion_base(pivotado, self.params)
+        return migration.int_canibalizacion_migracion_base(self._pivotado_escrito, self.params)
 
     @cached_property
     def fct_canibalizacion_evolutivo_cliente(self) -> DataFrame:
@@ -173,13 +177,17 @@ class Retail:
 
     # -- products --------------------------------------------------------------
 
+    @cached_property
+    def _medidas_por_producto(self) -> DataFrame:
+        return products.medidas_sobre_umbral(self.int_ventas_12m, self.params)
+
     @cached_property
     def int_top300_kpis(self) -> DataFrame:
-        return products.int_top300_kpis(self.int_ventas_12m, self.params)
+        return products.int_top300_kpis(self._medidas_por_producto)
 
     @cached_property
     def top300_ranking(self) -> DataFrame:
-        return products.top300_ranking(self.int_ventas_12m, self.params)
+        return products.top300_ranking(self._medidas_por_producto, self.params)
 
     # -- wholesale customers ---------------------------------------------------
 

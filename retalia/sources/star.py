@@ -43,19 +43,8 @@ def _producto_id(clave: str) -> str:
     return f"concat({clave}, IF({clave} % 50 = 0, '-G', ''))"
 
 
-def _repartir_si_poca(df: DataFrame, clave: str) -> DataFrame:
-    """Spread a table whose scan has fewer tasks than the session has cores.
-
-    A small file with one row group would be worked on by one core all the way to the
-    first shuffle.  A table of many files is left as it is scanned.
-    """
-    nucleos = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= nucleos else df.repartition(nucleos, clave)
-
-
 def ventas(spark: SparkSession, carpeta: str) -> DataFrame:
     lineas = spark.read.schema(_LINEITEM).parquet(f"{carpeta}/lineitem.parquet")
-    lineas = _repartir_si_poca(lineas, "l_orderkey")
     pedidos = spark.read.schema(_ORDERS).parquet(f"{carpeta}/orders.parquet")
     signo = "IF(l_returnflag = 'R' AND l_linenumber = 7, -1D, 1D)"
     return lineas.join(pedidos, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(

@@ -138,8 +138,13 @@ def test_measures_read_the_fact_once(spark, tmp_path):
     retail(spark, [linea()]).ventas.write.parquet(str(tmp_path / "v"))
     r = retail(spark, [linea()])
     r.ventas = schemas.leer_parquet(spark, str(tmp_path / "v"), schemas.VENTAS)
-    plan = medidas_por_producto(r.int_ventas_elegibles, P)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 1
-    assert plan.count("Exchange hashpartitioning(ambito") == 2
-
-
+    medidas = medidas_por_producto(r.int_ventas_elegibles, P)
+    medidas.collect()
+    plan = medidas._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    # The lines are shuffled once, on product and ticket, without scope; the scopes come later.
+    assert final.count("ReusedExchange") == 1
+    assert final.count("REPARTITION_BY_COL") - final.count("ReusedExchange") == 1
+    lineas = next(x for x in final.splitlines() if "Exchange hashpartitioning" in x and "REPARTITION_BY_COL" in x)
+    assert "ambito" not in lineas
+    assert "Expand" not in final and "Generate" not in final
