@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from retalia.sources.workspace import asentar as stored
 
-__all__ = ["held_out", "stored", "table", "words"]
+__all__ = ["held_out", "set_aside", "stored", "table", "words"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,3 +22,9 @@ def words(text: str | None) -> list[bytes]:
 def held_out(doc_id: Column) -> Column:
     """The quarter of the rows kept away from training; a null id is held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(True))
+
+
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` without names that begin with an underscore, which operators use inside, and the way back."""
+    names = {c: f"aside{i}{c}" for i, c in enumerate(df.columns) if c.startswith("_")}
+    return df.withColumnsRenamed(names), {new: c for c, new in names.items()}

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retalia.llm.common import stored, table
+from retalia.llm.common import set_aside, stored, table
 
 CLOSE = 1e-6  # a source's dual is solved when its tokens are this close to its target
 ROUNDS = 60
@@ -165,6 +165,7 @@ def mix(
     id_col: str = "doc_id",
 ) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target``, ``rate`` and ``copies`` (0 to ``cap``)."""
+    docs, back = set_aside(docs)
     u = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col(id_col), F.col(text_col)), 12) / F.lit(float(1 << 52))
     added = ["size", "source_size", "target", "rate", "copies"]
     rows = docs.drop(*added).withColumns({"_source": F.col(source_col).cast("string"), "_size": token_count(F.col(text_col)), "_u": u})
@@ -183,7 +184,7 @@ def mix(
     whole, place = _whole(cap)
     copies = whole + F.when(F.coalesce(place < F.col("_theta"), F.lit(False)), 1).otherwise(0)
     out = out.withColumns({"size": F.col("_size"), "rate": _rate(cap), "copies": copies.cast("int")})
-    return out.select(*[c for c in docs.columns if c not in added], *added)
+    return out.select(*[c for c in docs.columns if c not in added], *added).withColumnsRenamed(back)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

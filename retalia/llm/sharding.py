@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retalia.llm.common import stored, table
+from retalia.llm.common import set_aside, stored, table
 
 BITS = 12  # a round looks at 2**BITS candidate boundaries for each splitter
 HASH_BITS = 60
@@ -125,6 +125,7 @@ def shard_documents(
     Shards get near equal bytes: every splitter is within ``tolerance`` of a shard's bytes
     (or within one document) of its exact place.  ``slot`` counts from 0 in each shard.
     """
+    docs, back = set_aside(docs)
     rows = docs.withColumns({"size": size_of(F.col(text_col)), "_h": _hash(F.col(text_col)), "_id": F.coalesce(F.col(id_col).cast("long"), F.lit(-1))})
     least = docs.agg(F.min(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)))).first()[0] or 0
     rows = rows.withColumn("_i", F.col("_id") - F.lit(least))
@@ -143,7 +144,7 @@ def shard_documents(
     dealt = rows.drop("shard", "slot").withColumns({"shard": shard, "_part": part})
     dealt = dealt.withColumn("slot", F.row_number().over(within).cast("long") - 1)
     out = dealt.join(offsets, ["shard", "_part"]).withColumn("slot", F.col("slot") + F.col("_from"))
-    return out.drop("_h", "_id", "_i", "_part", "_from")
+    return out.drop("_h", "_id", "_i", "_part", "_from").withColumnsRenamed(back)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
