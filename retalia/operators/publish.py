@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from retalia.functions.periods import periodo
 from retalia.operators.sales import fct_ventas_36m
 from retalia.params import Params
+from retalia.sources.workspace import asentar
 
 
 # -- view and table ----------------------------------------------------------------
@@ -71,16 +74,39 @@ def refrescar_ventas_36m(previo: DataFrame | None, elegibles: DataFrame, params:
     return intactos.unionByName(fct_ventas_36m(elegibles, params, desde=desde))
 
 
-_PROPIEDAD_MESES = "retalia.meses"
+# A table published in parts is a view over folders.  Which folders belong to it stands
+# in a manifest, a small Parquet table of its own; the view only names the manifest.
+_PROPIEDAD = "retalia.manifiesto"
 
 
-def _meses_publicados(spark: SparkSession, nombre: str) -> dict[int, str]:
-    """Path of each month of a table published month by month."""
+def partes_publicadas(spark: SparkSession, nombre: str) -> list[tuple[str, str]]:
+    """(part, path) of a table published in parts, oldest first; empty before its first run."""
     if not spark.catalog.tableExists(nombre):
-        return {}
+        return []
     propiedades = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{nombre}`").collect()}
-    pares = (x.split("=", 1) for x in propiedades.get(_PROPIEDAD_MESES, "").split(";") if x)
-    return {int(p): ruta for p, ruta in pares}
+    if _PROPIEDAD not in propiedades:
+        return []
+    filas = spark.read.parquet(propiedades[_PROPIEDAD]).orderBy("orden").collect()  # a row for each part
+    return [(r.parte, r.ruta) for r in filas]
+
+
+def _publicar_partes(
+    spark: SparkSession, nombre: str, carpeta: str, partes: list[tuple[str, str]], consulta: str
+) -> DataFrame:
+    """Write the manifest, then replace the view: readers see the old parts or the new ones."""
+    ruta = f"{carpeta.rstrip('/')}/{nombre}/manifiesto-{uuid.uuid4().hex}"
+    filas = [(i, parte, r) for i, (parte, r) in enumerate(partes)]
+    spark.createDataFrame(filas, "orden int, parte string, ruta string").coalesce(1).write.parquet(ruta)
+    spark.sql(f"CREATE OR REPLACE VIEW `{nombre}` TBLPROPERTIES ('{_PROPIEDAD}' = '{ruta}') AS {consulta}")
+    return spark.table(nombre)
+
+
+def _version(nombre: str, carpeta: str) -> str:
+    return f"{carpeta.rstrip('/')}/{nombre}/version-{uuid.uuid4().hex}"
+
+
+def _nombres(columnas: list[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columnas)
 
 
 def publicar_meses(
@@ -95,23 +121,54 @@ def publicar_meses(
     """
     spark = nuevos.sparkSession
     a_mes = inicio.year * 100 + inicio.month, desde.year * 100 + desde.month
-    meses = {p: r for p, r in _meses_publicados(spark, nombre).items() if a_mes[0] <= p < a_mes[1]}
+    antes = partes_publicadas(spark, nombre)
+    meses = {int(p): r for p, r in antes if a_mes[0] <= int(p) < a_mes[1]}
 
-    ruta = f"{carpeta.rstrip('/')}/{nombre}/version-{uuid.uuid4().hex}"
+    ruta = _version(nombre, carpeta)
     con_periodo = nuevos.withColumn("periodo", periodo(F.col("anio"), F.col("mes")))
     con_periodo.hint("rebalance", "periodo").write.partitionBy("periodo").parquet(ruta)
     escritos = spark.read.schema(con_periodo.schema).parquet(ruta).select("periodo").distinct()
     meses |= {r.periodo: f"{ruta}/periodo={r.periodo}" for r in escritos.collect()}  # months only
 
-    columnas = ", ".join(f"`{c}`" for c in nuevos.columns)
+    columnas = _nombres(nuevos.columns)
     partes = [f"SELECT {columnas} FROM parquet.`{meses[p]}`" for p in sorted(meses)]
     vacia = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in nuevos.schema)
-    lista = ";".join(f"{p}={r}" for p, r in sorted(meses.items()))
-    spark.sql(
-        f"CREATE OR REPLACE VIEW `{nombre}` TBLPROPERTIES ('{_PROPIEDAD_MESES}' = '{lista}') AS "
-        + (" UNION ALL ".join(partes) or f"SELECT {vacia} WHERE false")
-    )
-    return spark.table(nombre)
+    consulta = " UNION ALL ".join(partes) or f"SELECT {vacia} WHERE false"
+    return _publicar_partes(spark, nombre, carpeta, [(str(p), meses[p]) for p in sorted(meses)], consulta)
+
+
+def publicar_por_clave(
+    nuevo: DataFrame, nombre: str, carpeta: str, claves: list[str], completa: bool = False
+) -> DataFrame:
+    """Incremental run of a keyed table: only rows that are new or differ are written.
+
+    Each run adds a part; a reader takes the row of the latest part of each key.  The
+    first run, and one with ``completa``, writes all of ``nuevo`` as the only part.
+    """
+    spark = nuevo.sparkSession
+    partes = [] if completa else partes_publicadas(spark, nombre)
+    if partes:
+        actual = spark.table(nombre)
+        otras = [c for c in nuevo.columns if c not in claves]
+        ya = actual.select(*[F.col(c).alias(f"_{c}") for c in claves], F.struct(*otras).alias("_antes"))
+        iguales = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in claves]
+        igual = F.struct(*otras).eqNullSafe(F.col("_antes"))
+        nuevo = nuevo.join(ya, reduce(lambda a, b: a & b, [*iguales, igual]), "left_anti")
+    ruta = _version(nombre, carpeta)
+    nuevo.write.parquet(ruta)
+    partes = [*partes, (f"{len(partes):06d}", ruta)]
+    columnas = nuevo.columns
+    todas = " UNION ALL ".join(f"SELECT {_nombres(columnas)}, '{p}' AS _parte FROM parquet.`{r}`" for p, r in partes)
+    ultima = ", ".join(f"max_by(`{c}`, _parte) AS `{c}`" if c not in claves else f"`{c}`" for c in columnas)
+    consulta = f"SELECT {ultima} FROM ({todas}) GROUP BY {_nombres(claves)}"
+    if len(partes) == 1:
+        consulta = f"SELECT {_nombres(columnas)} FROM parquet.`{ruta}`"
+    return _publicar_partes(spark, nombre, carpeta, partes, consulta)
+
+
+def publicar_mapeo(nuevo: DataFrame, nombre: str, carpeta: str, completa: bool = False) -> DataFrame:
+    """Incremental run of the customer mapping (``cliente_id`` to ``cliente_id_limpio``)."""
+    return publicar_por_clave(nuevo, nombre, carpeta, ["cliente_id"], completa)
 
 
 def publicar_ventas_36m(
@@ -122,7 +179,7 @@ def publicar_ventas_36m(
     The first run, and one with ``completa``, builds the whole window.
     """
     inicio = params.inicio_ventana(params.meses_ventana_canibalizacion)
-    primera = completa or not _meses_publicados(elegibles.sparkSession, nombre)
+    primera = completa or not partes_publicadas(elegibles.sparkSession, nombre)
     desde = inicio if primera else max(inicio, params.inicio_lookback_mes)
     return publicar_meses(
         fct_ventas_36m(elegibles, params, desde=desde), nombre, carpeta, inicio, desde
@@ -248,3 +305,33 @@ def snapshot_mayoristas(
         ahora,
         cerrar_desaparecidos=True,
     )
+
+
+def publicar_historia(
+    foto: Callable[[DataFrame, DataFrame | None, dt.datetime], DataFrame],
+    actual: DataFrame,
+    nombre: str,
+    carpeta: str,
+    ahora: dt.datetime,
+    completa: bool = False,
+) -> DataFrame:
+    """One run of a stored history; ``foto`` is :func:`snapshot_tipo_migracion` or its like.
+
+    Closed versions are never read or written again: a run reads the open ones, appends a
+    part with those it closes, and replaces the part of the open ones.  Its cost follows
+    the dataset, not the length of the history.
+    """
+    spark = actual.sparkSession
+    partes = [] if completa else partes_publicadas(spark, nombre)
+    abiertas = [r for p, r in partes if p == "abiertas"]
+    historia = foto(actual, spark.read.parquet(abiertas[0]) if abiertas else None, ahora)
+    # The parts are written from one stored result: it is computed once.
+    historia = asentar(historia, "historia")
+    cerrada = F.col("dbt_valid_to").isNotNull()
+    rutas = {"cerradas": _version(nombre, carpeta), "abiertas": _version(nombre, carpeta)}
+    historia.where(cerrada).write.parquet(rutas["cerradas"])
+    historia.where(~cerrada).write.parquet(rutas["abiertas"])
+    partes = [(p, r) for p, r in partes if p == "cerradas"] + list(rutas.items())
+    columnas = _nombres(historia.columns)
+    consulta = " UNION ALL ".join(f"SELECT {columnas} FROM parquet.`{r}`" for _, r in partes)
+    return _publicar_partes(spark, nombre, carpeta, partes, consulta)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from retalia.operators.migration import SUCURSALES, TIPOS_CLIENTE, TIPOS_EVENTO
 from retalia.operators.wholesale import NIVELES
 from retalia.params import Params
+from retalia.sources.workspace import asentar
 
 
 class ContractError(ValueError):
@@ -103,8 +104,10 @@ REGLAS: dict[str, dict] = {
     "int_clientes_limpio": {"no_nulas": ["cliente_id_limpio"], "unicas": ["cliente_id_limpio"]},
     "int_ventas_elegibles": {"no_nulas": ["producto_id", "pdv_id"]},
     "int_ventas_12m": {"no_nulas": ["producto_id"]},
-    "fct_ventas_36m": {"no_nulas": ["cliente_id_limpio", "producto_id", "pdv_id", "anio", "mes"]},
-    "fct_ventas_36m_pivotado": {"no_nulas": ["cliente_id_limpio"]},
+    "fct_ventas_36m": {
+        "no_nulas": ["cliente_id_limpio", "producto_id", "pdv_id", "anio", "mes", "total_ventas"]
+    },
+    "fct_ventas_36m_pivotado": {"no_nulas": ["cliente_id_limpio", "anio", "mes"]},
     "dim_cliente_tipo_migracion": {
         "no_nulas": ["cliente_id_limpio", "tipo_cliente"],
         "valores": {"tipo_cliente": TIPOS_CLIENTE},
@@ -138,12 +141,22 @@ REGLAS: dict[str, dict] = {
 }
 
 
+# Severity of the two checks that are no column checks; column checks are errors.
+SEVERIDAD = {"ids_por_cliente": "error", "ventas_desactualizada": "warn"}
+
+
 def revisar(nombre: str, df: DataFrame) -> DataFrame:
     """Run the declared checks of a dataset: one row per check that fails.
 
-    NULL and value checks share one aggregate over the dataset.
+    Only the checked columns are read.  NULL and value checks share one aggregate; a
+    dataset is written for that only if a ``unique`` check reads it a second time.
     """
     reglas = REGLAS[nombre]
+    unicas = reglas.get("unicas", [])
+    columnas = [*reglas.get("no_nulas", []), *reglas.get("valores", {}), *unicas]
+    df = df.select(*dict.fromkeys(columnas))
+    if unicas:
+        df = asentar(df, f"revision-{nombre}")
     contadores = {
         **{f"not_null:{c}": F.col(c).isNull() for c in reglas.get("no_nulas", [])},
         **{
@@ -154,8 +167,28 @@ def revisar(nombre: str, df: DataFrame) -> DataFrame:
     fallas = df.agg(*[F.count_if(cond).alias(n) for n, cond in contadores.items()]).unpivot(
         [], list(contadores), "prueba", "fallas"
     )
-    for c in reglas.get("unicas", []):
+    for c in unicas:
         fallas = fallas.unionByName(
             check_unique(df, c).agg(F.count(F.lit(1)).alias("fallas")).withColumn("prueba", F.lit(f"unique:{c}"))
         )
-    return fallas.where(F.col("fallas") > 0).select(F.lit(nombre).alias("conjunto"), "prueba", "fallas")
+    return _informe(fallas, nombre, "error")
+
+
+def _informe(fallas: DataFrame, conjunto: str, severidad: str) -> DataFrame:
+    return fallas.where(F.col("fallas") > 0).select(
+        F.lit(conjunto).alias("conjunto"), "prueba", F.lit(severidad).alias("severidad"), "fallas"
+    )
+
+
+def revisar_colisiones(mapeo: DataFrame, limite: int) -> DataFrame:
+    """:func:`check_id_collisions` as a row of the report."""
+    fallas = check_id_collisions(mapeo, limite).agg(F.count(F.lit(1)).alias("fallas"))
+    fallas = fallas.withColumn("prueba", F.lit("ids_por_cliente"))
+    return _informe(fallas, "int_clientes_mapeo_limpio", SEVERIDAD["ids_por_cliente"])
+
+
+def revisar_actualidad(ventas: DataFrame, as_of: dt.date) -> DataFrame:
+    """:func:`check_freshness` as a row of the report."""
+    fallas = check_freshness(ventas, as_of).agg(F.count(F.lit(1)).alias("fallas"))
+    fallas = fallas.withColumn("prueba", F.lit("ventas_desactualizada"))
+    return _informe(fallas, "ventas", SEVERIDAD["ventas_desactualizada"])

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from retalia.operators.migration import SUCURSALES, TIPOS_CLIENTE, TIPOS_EVENTO
+from retalia.operators.migration import SUCURSALES
+from retalia.operators.quality import REGLAS
 from retalia.operators.wholesale import NIVELES
 from retalia.plans.queries import (
     AS_OF,
@@ -434,6 +435,58 @@ _MERGED = {
 _p = params()
 _recent = f"fecha_venta >= date '{_p.inicio_lookback}'"
 
+_SUITE_SOURCES = {
+    "stg_ventas": "(select * from sales where cliente_id is not null)",
+    "stg_clientes": "(select * from customers where cliente_id is not null)",
+    "stg_productos": "products",
+    "stg_clientes_mapeo": "mapping",
+    "stg_clientes_limpio": "clean_customers",
+    "int_clientes_normalizados": "(select * from normalized where cliente_id is not null)",
+    "int_clientes_mapeo_limpio": "mapping",
+    "int_clientes_limpio": "clean_customers",
+    "int_ventas_elegibles": "eligible",
+    "int_ventas_12m": "v12",
+    "fct_ventas_36m": "v36",
+    "fct_ventas_36m_pivotado": "pivoted",
+    "dim_cliente_tipo_migracion": "states",
+    "int_canibalizacion_migracion_base": "base",
+    "fct_canibalizacion_evolutivo_cliente": "evolution",
+    "dim_cliente_migracion_eventos": "events",
+    "fct_canibalizacion_migracion_resumen": """(select anio, mes, tipo_cliente, count(*) as cantidad_clientes
+      from events group by anio, mes, tipo_cliente, local_origen, local_destino)""",
+    "int_top300_kpis": "kpis",
+    "top300_ranking": "ranking",
+    "int_mayoristas_metricas_cliente": "wmetrics",
+    "dim_clientes_mayoristas": "wholesale",
+}
+
+
+def _suite() -> list[str]:
+    """A statement for every declared check, and for the two singular ones."""
+
+    def one(ds: str, test: str, severity: str, source: str, bad: str) -> str:
+        return f"""select '{ds}' as conjunto, '{test}' as prueba, '{severity}' as severidad, count(*) as fallas
+          from {source} where {bad}"""
+
+    out = []
+    for ds, source in _SUITE_SOURCES.items():
+        rules = REGLAS[ds]
+        out += [one(ds, f"not_null:{c}", "error", source, f"{c} is null") for c in rules.get("no_nulas", [])]
+        out += [
+            one(ds, f"accepted_values:{c}", "error", source, f"{c} not in ({_lista(vs)})")
+            for c, vs in rules.get("valores", {}).items()
+        ]
+        out += [
+            one(ds, f"unique:{c}", "error", f"(select {c} from {source} where {c} is not null group by 1 having count(*) > 1)", "true")
+            for c in rules.get("unicas", [])
+        ]
+    out.append(one("int_clientes_mapeo_limpio", "ids_por_cliente", "error", "merged", "cantidad_ids_origen > 1"))
+    out.append(
+        one("ventas", "ventas_desactualizada", "warn", "(select max(fecha_venta) as d from sales)", "d < date '2001-09-30'")
+    )
+    return out
+
+
 ORACLE_SQL: dict[str, str] = {
     "stg_ventas": _hoy("select * from sales where cliente_id is not null"),
     "stg_clientes": _hoy("select * from customers where cliente_id is not null"),
@@ -537,50 +590,30 @@ ORACLE_SQL: dict[str, str] = {
         """select pdv_id, count(*) as filas from sales
         where pdv_id not in (select pdv_id from branches) group by pdv_id"""
     ),
-    "check_suite": _hoy(
-        "select * from ("
-        + " union all ".join(
-            f"select '{ds}' as conjunto, '{test}' as prueba, count(*) as fallas from {src} where {bad}"
-            for ds, test, src, bad in [
-                ("stg_productos", "not_null:producto_id", "products", "producto_id is null"),
-                ("int_clientes_mapeo_limpio", "not_null:cliente_id_limpio", "mapping", "cliente_id_limpio is null"),
-                ("int_clientes_limpio", "not_null:cliente_id_limpio", "clean_customers", "cliente_id_limpio is null"),
-                ("dim_cliente_tipo_migracion", "not_null:cliente_id_limpio", "states", "cliente_id_limpio is null"),
-                ("dim_cliente_tipo_migracion", "not_null:tipo_cliente", "states", "tipo_cliente is null"),
-                (
-                    "dim_cliente_tipo_migracion",
-                    "accepted_values:tipo_cliente",
-                    "states",
-                    f"tipo_cliente not in ({_lista(TIPOS_CLIENTE)})",
-                ),
-                (
-                    "dim_cliente_migracion_eventos",
-                    "accepted_values:tipo_cliente",
-                    "events",
-                    f"tipo_cliente not in ({_lista(TIPOS_EVENTO)})",
-                ),
-                ("top300_ranking", "not_null:puntaje_final", "ranking", "puntaje_final is null"),
-                (
-                    "dim_clientes_mayoristas",
-                    "accepted_values:nivel_mayorista",
-                    "wholesale",
-                    f"nivel_mayorista not in ({_lista(NIVELES)})",
-                ),
-                (
-                    "stg_productos",
-                    "unique:producto_id",
-                    "(select producto_id from products group by 1 having count(*) > 1)",
-                    "true",
-                ),
-                (
-                    "int_clientes_mapeo_limpio",
-                    "unique:cliente_id",
-                    "(select cliente_id from mapping group by 1 having count(*) > 1)",
-                    "true",
-                ),
+    "check_suite": _hoy("select * from (" + " union all ".join(_suite()) + ") where fallas > 0", _MERGED),
+    "lineas_descartadas": _hoy(
+        f"""select case when m.cliente_id is null then 'sin_id_limpio'
+            when m.cliente_id_limpio = '{CLIENTE_PRUEBA}' then 'cliente_prueba'
+            when p.producto_id is null then 'producto_excluido' else 'elegible' end as regla,
+          cast(count(*) as bigint) as lineas
+        from sales s left join mapping m on m.cliente_id = s.cliente_id
+        left join (select producto_id from products where id_empresa = 3
+          and not {_like_ci_ai('categoria_2', 'bolsa')} and not {_like_ci_ai('categoria_1', 'egre')}
+          and not {_like_ci_ai('categoria_1', 'servi')}
+          and producto_id not in (select producto_id from excluded)) p on p.producto_id = s.producto_id
+        where s.cliente_id is not null group by 1"""
+    ),
+    "check_schema": _hoy(
+        " union all ".join(
+            f"""select '{ds}' as tabla, '{c}' as columna, '{want}' as tipo_esperado, {have} as tipo_real,
+              (select count(*) from {src} where cliente_id is not null) as filas"""
+            for ds, src, c, want, have in [
+                ("stg_ventas", "sales", "unidades", "int", "'double'"),
+                ("stg_ventas", "sales", "alta", "date", "null"),
+                ("stg_clientes", "customers", "mail", "int", "'string'"),
+                ("stg_clientes", "customers", "alta", "date", "null"),
             ]
         )
-        + ") where fallas > 0"
     ),
     "check_collisions": _hoy("select * from merged where cantidad_ids_origen > 1", _MERGED),
     "check_freshness": _hoy(
@@ -661,3 +694,11 @@ ORACLE_SQL: dict[str, str] = {
         _MERGED,
     ),
 }
+
+ORACLE_SQL |= {
+    "publicar_tabla": ORACLE_SQL["top300_ranking"],
+    "publicar_ventas_36m": ORACLE_SQL["ventas_36m"],
+    "publicar_mapeo": ORACLE_SQL["upsert_mapeo"],
+    "publicar_historia_tipo": ORACLE_SQL["scd2_tipo"],
+    "publicar_historia_mayoristas": ORACLE_SQL["scd2_mayoristas"],
+}

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retalia.functions import ids
 from retalia.functions.numbers import exacto, log_desde_minimo, normalizar_desde_log
@@ -16,8 +18,8 @@ from retalia.operators import customers, diagnostics, publish, quality, sales
 from retalia.operators.skew import adjuntar_por_grupo
 from retalia.params import Params
 from retalia.plans.retail import Retail
-from retalia.sources import seeds, star
-from retalia.sources.workspace import asentar
+from retalia.sources import schemas, seeds, star
+from retalia.sources.workspace import asentar, carpeta_compartida
 
 # Run dates and limits that suit the range of the order tables.
 AS_OF = dt.date(2001, 7, 15)
@@ -27,6 +29,7 @@ MOMENTO = dt.datetime(2001, 7, 15, 6, 0)
 MOMENTO_PREVIO = dt.datetime(2001, 6, 15, 6, 0)
 UMBRAL_VENTAS = 100_000
 CLIENTE_PRUEBA = "100008"
+VENCIDA = dt.date(2001, 10, 15)  # two months after the last sale
 
 
 def params(as_of: dt.date = AS_OF) -> Params:
@@ -175,22 +178,99 @@ def check_accepted(spark: SparkSession, carpeta: str) -> DataFrame:
 
 
 def check_suite(spark: SparkSession, carpeta: str) -> DataFrame:
-    """Declared checks of the datasets, each read once."""
+    """All declared checks of all datasets and both singular checks, on one run.
+
+    With a limit of one raw id per customer and a run date two months after the last
+    sale, both singular checks fail on the given tables.
+    """
     r = retail(spark, carpeta)
-    return _unir(
-        [
-            quality.revisar(n, asentar(getattr(r, n), f"revision-{n}"))
-            for n in (
-                "stg_productos",
-                "int_clientes_mapeo_limpio",
-                "int_clientes_limpio",
-                "dim_cliente_tipo_migracion",
-                "dim_cliente_migracion_eventos",
-                "top300_ranking",
-                "dim_clientes_mayoristas",
-            )
-        ]
+    mapeo = asentar(r.int_clientes_mapeo_limpio, "mapeo-revision")
+    r = retail(spark, carpeta, mapeo=mapeo).fijar_elegibles()
+    revisiones = [quality.revisar(n, getattr(r, n)) for n in quality.REGLAS if n not in ("int_ventas_elegibles", "int_clientes_mapeo_limpio")]
+    # These two as of the sources: all eligible lines, and the mapping that was written.
+    todas = retail(spark, carpeta, mapeo=mapeo).int_ventas_elegibles
+    revisiones.append(quality.revisar("int_ventas_elegibles", todas))
+    revisiones.append(quality.revisar("int_clientes_mapeo_limpio", mapeo))
+    revisiones.append(quality.revisar_colisiones(mapeo, limite=1))
+    revisiones.append(quality.revisar_actualidad(r.ventas, VENCIDA))
+    return _unir(revisiones)
+
+
+def lineas_descartadas(spark: SparkSession, carpeta: str) -> DataFrame:
+    r = retail(spark, carpeta)
+    return sales.lineas_descartadas(r.stg_ventas, r.stg_productos, r.productos_excluidos, r.params)
+
+
+# -- tables written and read back ----------------------------------------------------
+
+
+def _nombre(base: str) -> str:
+    """A name of its own for each call."""
+    return f"{base}_{uuid.uuid4().hex}"
+
+
+def _carpeta(spark: SparkSession) -> str:
+    return f"{carpeta_compartida(spark)}/retalia/publicado"
+
+
+def publicar_tabla(spark: SparkSession, carpeta: str) -> DataFrame:
+    """The ranking as a table partitioned by scope, read back through its view."""
+    nombre = _nombre("top300_ranking")
+    return publish.publicar_tabla(retail(spark, carpeta).top300_ranking, nombre, _carpeta(spark), ["ambito"])
+
+
+def publicar_ventas_36m(spark: SparkSession, carpeta: str) -> DataFrame:
+    """Run at the earlier date, then at the later one: equal to a full build."""
+    nombre = _nombre("ventas_36m")
+    antes, hoy = retail(spark, carpeta, AS_OF_PREVIO), retail(spark, carpeta)
+    conocidas = antes.int_ventas_elegibles.where(F.col("fecha_venta") < F.lit(CONOCIDO_HASTA))
+    publish.publicar_ventas_36m(conocidas, antes.params, nombre, _carpeta(spark))
+    return publish.publicar_ventas_36m(hoy.int_ventas_elegibles, hoy.params, nombre, _carpeta(spark))
+
+
+def publicar_mapeo(spark: SparkSession, carpeta: str) -> DataFrame:
+    """First run on the sales known then, incremental run on the look-back, read back."""
+    nombre = _nombre("clientes_mapeo")
+    r = retail(spark, carpeta)
+    conocidas = r.stg_ventas.where(F.col("fecha_venta") < F.lit(CONOCIDO_HASTA))
+    previo = customers.int_clientes_mapeo_limpio(r.int_clientes_normalizados, conocidas)
+    nuevo = customers.int_clientes_mapeo_limpio(
+        r.int_clientes_normalizados, r.stg_ventas, desde=r.params.inicio_lookback
     )
+    publish.publicar_mapeo(previo, nombre, _carpeta(spark))
+    return publish.publicar_mapeo(nuevo, nombre, _carpeta(spark))
+
+
+def _publicar_historia(base: str, modelo: str, foto: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    def consulta(spark: SparkSession, carpeta: str) -> DataFrame:
+        nombre = _nombre(base)
+        antes = getattr(retail(spark, carpeta, AS_OF_PREVIO), modelo)
+        hoy = getattr(retail(spark, carpeta), modelo)
+        publish.publicar_historia(foto, antes, nombre, _carpeta(spark), MOMENTO_PREVIO)
+        return publish.publicar_historia(foto, hoy, nombre, _carpeta(spark), MOMENTO)
+
+    return consulta
+
+
+def check_schema(spark: SparkSession, carpeta: str) -> DataFrame:
+    """Columns of the published staging tables against a contract that wants two other types and one more.
+
+    The rows counted beside each difference are read back from the table.
+    """
+    r = retail(spark, carpeta)
+    salida = []
+    for nombre, df, contrato in (
+        ("stg_ventas", r.stg_ventas, schemas.STG_VENTAS),
+        ("stg_clientes", r.stg_clientes, schemas.CLIENTES),
+    ):
+        vista = _nombre(nombre)
+        tabla = publish.publicar_tabla(df, vista, _carpeta(spark))
+        otro = T.StructType([T.StructField(f.name, T.IntegerType() if f.name in ("unidades", "mail") else f.dataType) for f in contrato])
+        otro = otro.add("alta", T.DateType())
+        filas = tabla.agg(F.count(F.lit(1)).alias("filas")).scalar()
+        dif = quality.check_schema(tabla, otro).unionByName(quality.check_schema(tabla, contrato))
+        salida.append(dif.select(F.lit(nombre).alias("tabla"), "columna", "tipo_esperado", "tipo_real", filas.alias("filas")))
+    return _unir(salida)
 
 
 def check_collisions(spark: SparkSession, carpeta: str) -> DataFrame:
@@ -200,7 +280,7 @@ def check_collisions(spark: SparkSession, carpeta: str) -> DataFrame:
 
 def check_freshness(spark: SparkSession, carpeta: str) -> DataFrame:
     """As seen two months after the last sale: the closed month is missing."""
-    return quality.check_freshness(retail(spark, carpeta).ventas, dt.date(2001, 10, 15))
+    return quality.check_freshness(retail(spark, carpeta).ventas, VENCIDA)
 
 
 # -- analyses ----------------------------------------------------------------------
@@ -308,6 +388,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_ventas": upsert_ventas,
     "scd2_tipo": scd2_tipo,
     "scd2_mayoristas": scd2_mayoristas,
+    "publicar_tabla": publicar_tabla,
+    "publicar_ventas_36m": publicar_ventas_36m,
+    "publicar_mapeo": publicar_mapeo,
+    "publicar_historia_tipo": _publicar_historia(
+        "historia_tipo", "dim_cliente_tipo_migracion", publish.snapshot_tipo_migracion
+    ),
+    "publicar_historia_mayoristas": _publicar_historia(
+        "historia_mayoristas", "dim_clientes_mayoristas", publish.snapshot_mayoristas
+    ),
+    "lineas_descartadas": lineas_descartadas,
+    "check_schema": check_schema,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_accepted": check_accepted,

@@ -4,6 +4,8 @@ import pytest
 from compare import conectar, diferencia
 
 import __spark_entry__ as entrada
+from retalia.plans.oracle import ORACLE_SQL
+from retalia.plans.queries import QUERIES
 
 CARPETA = "/root/testdata/sf0.001"
 
@@ -14,13 +16,14 @@ def con():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entrada.queries()) == set(entrada.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert QUERIES.items() <= entrada.queries().items() and ORACLE_SQL.items() <= entrada.oracle_sql().items()
 
 
-@pytest.mark.parametrize("nombre", sorted(entrada.queries()))
+@pytest.mark.parametrize("nombre", sorted(QUERIES))
 def test_query(spark, con, nombre):
-    df = entrada.queries()[nombre](spark, CARPETA)
-    assert diferencia(df, con, entrada.oracle_sql()[nombre]) == ""
+    df = QUERIES[nombre](spark, CARPETA)
+    assert diferencia(df, con, ORACLE_SQL[nombre]) == ""
     plan = df._jdf.queryExecution().executedPlan().toString()
     for malo in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
         assert malo not in plan

@@ -129,7 +129,7 @@ def test_months_are_replaced_in_place(spark, tmp_path):
         return publish.publicar_ventas_36m(r.int_ventas_elegibles, params, nombre, carpeta, **k)
 
     def paths():
-        return publish._meses_publicados(spark, nombre)
+        return {int(p): r for p, r in publish.partes_publicadas(spark, nombre)}
 
     lejos, abril, mayo = (dt.date(2021, 6, 5), dt.date(2024, 4, 30), dt.date(2024, 5, 2))
     antes = [linea(fecha=d, gs=1.0) for d in (lejos, abril, mayo)]
@@ -149,6 +149,40 @@ def test_months_are_replaced_in_place(spark, tmp_path):
     spark.sql(f"DROP VIEW {nombre}")
 
 
+def test_only_new_and_changed_ids_are_written(spark, tmp_path):
+    def correr(*filas, **k):
+        df = spark.createDataFrame(filas, "cliente_id string, cliente_id_limpio string")
+        tabla = publish.publicar_mapeo(df, "prueba_mapeo", str(tmp_path), **k)
+        return _filas(tabla), [spark.read.parquet(r).count() for _, r in publish.partes_publicadas(spark, "prueba_mapeo")]
+
+    assert correr(("a", "1"), ("b", "2"), ("c", None)) == ([("a", "1"), ("b", "2"), ("c", None)], [3])
+    # b changes, d is new, the rest is as it was
+    todas = [("a", "1"), ("b", "3"), ("c", None), ("d", "4")]
+    assert correr(("a", "1"), ("b", "3"), ("c", None), ("d", "4")) == (todas, [3, 2])
+    assert correr(("a", "1")) == (todas, [3, 2, 0])
+    assert correr(("b", "2")) == ([("a", "1"), ("b", "2"), ("c", None), ("d", "4")], [3, 2, 0, 1])
+    assert correr(("a", "9"), completa=True) == ([("a", "9")], [1])
+    spark.sql("DROP VIEW prueba_mapeo")
+
+
+def test_closed_versions_are_not_rewritten(spark, tmp_path):
+    def foto(actual, historia, ahora):
+        return publish.snapshot_scd2(actual, historia, "k", ["v"], ahora, cerrar_desaparecidos=True)
+
+    esperada = None
+    rutas = []
+    for ahora, filas in ((T1, [("a", "1"), ("b", "1")]), (T2, [("a", "2"), ("b", "1")]), (T3, [("a", "2")])):
+        hoy = _hoy(spark, *filas)
+        esperada = foto(hoy, esperada, ahora)
+        tabla = publish.publicar_historia(foto, hoy, "prueba_historia", str(tmp_path), ahora)
+        assert _filas(tabla) == _filas(esperada)
+        cerradas = [r for p, r in publish.partes_publicadas(spark, "prueba_historia") if p == "cerradas"]
+        assert cerradas[: len(rutas)] == rutas and len(cerradas) == len(rutas) + 1
+        rutas = cerradas
+    assert [spark.read.parquet(r).count() for r in rutas] == [0, 1, 1]
+    spark.sql("DROP VIEW prueba_historia")
+
+
 def test_shared_lines_give_the_same_marts(spark):
     v = [
         linea(cliente=str(c), producto=p, pdv=x, factura=f"{c}{p}{n}", fecha=dt.date(2024, n, 1), gs=float(n))

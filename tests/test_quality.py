@@ -51,14 +51,27 @@ def test_declared_checks(spark):
         [("a", "Cliente SL"), ("a", None), (None, "Otra cosa")], "cliente_id_limpio string, tipo_cliente string"
     )
     assert {tuple(r)[1:] for r in quality.revisar("dim_cliente_tipo_migracion", tipos).collect()} == {
-        ("not_null:cliente_id_limpio", 1), ("not_null:tipo_cliente", 1), ("accepted_values:tipo_cliente", 1),
+        ("not_null:cliente_id_limpio", "error", 1), ("not_null:tipo_cliente", "error", 1),
+        ("accepted_values:tipo_cliente", "error", 1),
     }
     limpio = spark.createDataFrame([("1",), ("1",)], "cliente_id_limpio string")
     assert [tuple(r) for r in quality.revisar("int_clientes_limpio", limpio).collect()] == [
-        ("int_clientes_limpio", "unique:cliente_id_limpio", 1)
+        ("int_clientes_limpio", "unique:cliente_id_limpio", "error", 1)
     ]
 
 
+def test_singular_checks_carry_their_severity(spark):
+    mapeo = spark.createDataFrame([("r1", "1"), ("r2", "1")], schemas.CLIENTES_MAPEO)
+    assert [tuple(r) for r in quality.revisar_colisiones(mapeo, 1).collect()] == [
+        ("int_clientes_mapeo_limpio", "ids_por_cliente", "error", 1)
+    ]
+    ventas = spark.createDataFrame([(dt.date(2024, 5, 30),)], "fecha_venta date")
+    assert [tuple(r) for r in quality.revisar_actualidad(ventas, dt.date(2024, 6, 15)).collect()] == [
+        ("ventas", "ventas_desactualizada", "warn", 1)
+    ]
+    assert quality.revisar_actualidad(ventas, dt.date(2024, 5, 15)).count() == 0
+
+
 def test_seeds_and_csv(spark, tmp_path):
     assert seeds.productos_excluidos(spark).count() == 13
     (tmp_path / "s.csv").write_text("pdv_id,sucursal_codigo,sucursal_nombre\n03,SL,San Lorenzo\n")
