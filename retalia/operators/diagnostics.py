@@ -16,6 +16,9 @@ TIPOS_NUEVO = ["Nuevo - Dual", "Nuevo - Unico"]
 # Fixed value: a symbol that the cleaning does not treat.
 OTRO_CARACTER = r"[^A-Za-z0-9 \t\n\r*-]"
 
+# Fixed value: the profile looks at ids of this width.
+ANCHO_PERFIL = 255
+
 
 # -- quality of the raw ids --------------------------------------------------------
 
@@ -25,6 +28,7 @@ def ids_clasificados(clientes: DataFrame, ventas: DataFrame) -> DataFrame:
     ids = (
         clientes.select("cliente_id")
         .unionByName(ventas.select("cliente_id"))
+        .select(F.substring("cliente_id", 1, ANCHO_PERFIL).alias("cliente_id"))
         .where(F.col("cliente_id").isNotNull())
         .distinct()
     )
@@ -206,12 +210,19 @@ def ventas_por_id_crudo(
 ) -> DataFrame:
     """Branches in which each raw id of a candidate bought in the event month.
 
-    The lines are reduced to distinct (raw id, branch, month) before they meet the
-    events, so neither a busy customer nor the fact itself is shuffled by customer.
+    Only lines of candidates go on; these are reduced to distinct (raw id, branch,
+    month) before they meet the events, so a busy customer is not shuffled by line.
     """
+    de_candidatos = join_repartido(
+        elegibles,
+        candidatos.select("cliente_id_limpio").distinct(),
+        "cliente_id_limpio",
+        ["cliente_id", "fecha_venta", "ticket_id"],
+        "left_semi",
+    )
     presencia = (
         join_repartido(
-            elegibles,
+            de_candidatos,
             sucursales.select("pdv_id", "sucursal_codigo"),
             "pdv_id",
             ["cliente_id", "fecha_venta"],
@@ -240,7 +251,7 @@ def branches_per_raw_id(
     return (
         ventas_por_id_crudo(elegibles, sucursales, candidatos_fusion(mapeo, eventos))
         .groupBy("cliente_id_limpio", "cliente_id_crudo")
-        .agg(F.countDistinct("sucursal").alias("sucursales_distintas"))
+        .agg(F.count(F.lit(1)).alias("sucursales_distintas"))
         .groupBy("sucursales_distintas")
         .agg(F.count(F.lit(1)).alias("cantidad_cliente_id_crudos"))
     )

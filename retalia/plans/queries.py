@@ -18,6 +18,7 @@ from retalia.operators import customers, diagnostics, publish, quality, sales
 from retalia.operators.skew import adjuntar_por_grupo
 from retalia.params import Params
 from retalia.plans.retail import Retail
+from retalia.plans.session import ajustar
 from retalia.sources import schemas, seeds, star
 from retalia.sources.workspace import asentar, carpeta_compartida
 
@@ -37,6 +38,7 @@ def params(as_of: dt.date = AS_OF) -> Params:
 
 
 def retail(spark: SparkSession, carpeta: str, as_of: dt.date = AS_OF, mapeo: DataFrame | None = None) -> Retail:
+    ajustar(spark)
     return Retail(
         ventas=star.ventas(spark, carpeta),
         clientes=star.clientes(spark, carpeta),

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from retalia.operators import customers, migration, products, sales, staging, wholesale
 from retalia.operators.quality import require_schema
 from retalia.params import Params
-from retalia.plans.session import ajustar
 from retalia.sources.schemas import STG_PRODUCTOS, STG_VENTAS
 from retalia.sources.workspace import asentar
 
@@ -35,9 +34,9 @@ class Retail:
     ):
         """``mapeo``, ``ventas_36m`` and ``elegibles``: stored tables to build on.
 
-        Without them, each dataset is that of a full refresh from the sources.
+        Without them, each dataset is that of a full refresh from the sources.  The
+        session is left as it is; ``plans.session.ajustar`` sets what the plans count on.
         """
-        ajustar(ventas.sparkSession)
         self.ventas = ventas
         self.clientes = clientes
         self.productos = productos
