@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retalia import Params
-from retalia.operators import customers, sales, staging
+from retalia.operators import customers, sales, skew, staging
 from retalia.plans.retail import Retail
 from retalia.sources import schemas, seeds
 from retalia.sources.workspace import asentar
@@ -161,9 +161,10 @@ def test_monthly_sales_and_pivot_agree_on_lines_and_table(spark):
 
 
 @pytest.mark.parametrize("con_mapeo", [False, True])
-def test_hot_product_and_customer_are_split(spark, con_mapeo):
-    """Most lines on one product and customer: the product join is salted, AQE splits
-    the join with a stored mapping."""
+def test_hot_product_and_customer_are_split(spark, monkeypatch, con_mapeo):
+    """Most lines on one product and customer: lists beyond the broadcast limit are met
+    on key and salt, the products and a stored mapping alike."""
+    monkeypatch.setattr(skew, "FILAS_DIFUNDIBLES", 100)
     n = 60_000
     caliente = F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id") % 500)
     filas = spark.range(0, n, 1, 16).select(
@@ -200,7 +201,7 @@ def test_hot_product_and_customer_are_split(spark, con_mapeo):
         assert sum(x.n for x in df.collect()) == n
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert re.search(r"Exchange hashpartitioning\(producto_id#\d+, _sal#", plan)
-        assert not con_mapeo or "skew=true" in plan
+        assert not con_mapeo or re.search(r"Exchange hashpartitioning\(cliente_id#\d+, _sal#", plan)
     finally:
         for k, x in previos.items():
             spark.conf.unset(k) if x is None else spark.conf.set(k, x)
