@@ -161,9 +161,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def training_windows(rows: DataFrame, sample: int = SAMPLE, per_text: int = WINDOWS) -> pd.DataFrame:
     """``lang`` and ``x`` (byte classes) of a bounded number of windows from ``rows`` (doc_id, text, lang)."""
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != ""))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # the classes
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    some = rows.join(counts, "lang").filter(place < F.lit(float(sample)) / F.col("n"))
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, float(sample) / n)]) if counts else None
+    some = rows.filter(place < share[F.col("lang")] if counts else F.lit(False))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
