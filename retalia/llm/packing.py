@@ -38,10 +38,10 @@ from retalia.llm.common import stored, table
 
 LENGTH = 2048
 CLOSING_ID = 0
-WORDS_KEPT = 1_000_000  # words whose ids a worker remembers
+WORDS_KEPT = 300_000  # words whose ids a worker remembers
 MARKS = ".,!?;:%&$#*"  # marks that are split off the end of a word before it is tokenized
 
-_memory: dict[str, tuple] = {}
+_memory: dict[str, list] = {}
 
 
 def _parts(word: str) -> tuple[str, str]:
@@ -55,42 +55,56 @@ def _parts(word: str) -> tuple[str, str]:
     return (stem.lower() if stem.isascii() else stem), word[len(stem) :]
 
 
-def _ids_of(tokenizer_file: str):
+def _ids_of(tokenizer_file: str, words_kept: int = WORDS_KEPT):
     """Text to little-endian 32-bit ids.
 
     The tokenizer drops white space before it merges, so ids of a text are those of its words
-    one after another; words that a worker has met are not tokenized again.
+    one after another; words that a worker has met are not tokenized again.  Words are kept in
+    two generations: when the newer one is full, the words not used since it began are dropped.
     """
     if tokenizer_file not in _memory:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _memory[tokenizer_file] = (Tokenizer.from_file(tokenizer_file), {})
-    tokenizer, known = _memory[tokenizer_file]
+        _memory[tokenizer_file] = [Tokenizer.from_file(tokenizer_file), {}, {}]
+    kept = _memory[tokenizer_file]
 
     def ids(text: str) -> bytes:
+        tokenizer, known, older = kept
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        different = set(words)
-        if any(w not in known for w in different):
-            if len(known) > WORDS_KEPT:
-                known.clear()
-            parts = {w: _parts(w) for w in different if w not in known}
+        different = [w for w in set(words) if w not in known]
+        parts = {}
+        for w in different:
+            if w in older:
+                known[w] = older[w]
+            else:
+                parts[w] = _parts(w)
+        if parts:
             new = list({p for both in parts.values() for p in both if p not in known})
             for p, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
                 known[p] = np.array(e.ids, "<u4").tobytes()
             for w, (stem, marks) in parts.items():
                 known[w] = known[stem] + known[marks]
-        return b"".join(map(known.__getitem__, words))
+        out = b"".join(map(known.__getitem__, words))
+        if len(known) > words_kept // 2:
+            kept[1:] = {}, known
+        return out
 
     return ids
 
 
-def pieces(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, closing_id: int = CLOSING_ID) -> DataFrame:
+def pieces(
+    docs: DataFrame,
+    tokenizer_file: str,
+    length: int = LENGTH,
+    closing_id: int = CLOSING_ID,
+    words_kept: int = WORDS_KEPT,
+) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, and its rank in its part and length."""
     end = np.array([closing_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = _ids_of(tokenizer_file)
+        ids = _ids_of(tokenizer_file, words_kept)
         seen = np.zeros(length + 1, np.int64)
         for pdf in batches:
             out = []
@@ -181,9 +195,18 @@ def _merged(ranges: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def pack(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, closing_id: int = CLOSING_ID) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row for every piece."""
-    cut = stored(pieces(docs, tokenizer_file, length, closing_id), "pack-pieces")
+def pack(
+    docs: DataFrame,
+    tokenizer_file: str,
+    length: int = LENGTH,
+    closing_id: int = CLOSING_ID,
+    words_kept: int = WORDS_KEPT,
+) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row for every piece.
+
+    ``words_kept`` is the memory of a worker (about 200 bytes a word) against its time.
+    """
+    cut = stored(pieces(docs, tokenizer_file, length, closing_id, words_kept), "pack-pieces")
     by_part = cut.groupBy("part", "length").agg(F.count("*").alias("n"))
     ahead = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.select("part", "length", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
@@ -213,4 +236,4 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file())
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file(), words_kept=1_000_000)
