@@ -117,6 +117,51 @@ def test_passages_of_odd_rows(spark, odd, empty):
     assert substrings.cut_out("a  b\nc d ", [(1, 3)]) == "a d "
 
 
+def exact_windows(texts, n=50):
+    """Words of each text that stand in a window of ``n`` words which a text of smaller hash holds too."""
+    first = {}
+    for h, t in sorted(texts.items()):
+        w = t.split()
+        for i in range(len(w) - n + 1):
+            first.setdefault(tuple(w[i : i + n]), h)
+    want = {}
+    for h, t in texts.items():
+        w = t.split()
+        want[h] = {i + k for i in range(len(w) - n + 1) if first[tuple(w[i : i + n])] != h for k in range(n)}
+    return want
+
+
+def test_passages_of_stock_sentences_are_found(spark):
+    azar = random.Random(21)
+    stock = [prose(12, 4000 + s, 5000) for s in range(8)]
+    alone = [" ".join([prose(40, 5000 + 50 * s + k, 5000), stock[s], prose(40, 7000 + 50 * s + k, 5000)]) for s in range(8) for k in range(30)]
+    held = [" ".join([prose(60, 9000 + k, 5000), *stock[2 * (k % 2) : 2 * (k % 2) + 6], prose(60, 9500 + k, 5000)]) for k in range(6)]
+    texts = alone + held
+    azar.shuffle(texts)
+    docs = spark.createDataFrame(rows(texts), SCHEMA)
+    found = substrings.find_passages(docs).collect()
+    hashes = {r.doc_id: r.h for r in docs.selectExpr("doc_id", "xxhash64(text) AS h").collect()}
+    want = exact_windows({hashes[i]: t for i, t in enumerate(texts)})
+    assert sum(map(len, want.values())) >= 4 * 72
+    for i in range(len(texts)):
+        covered = {k for r in found if r.doc_id == i for k in range(r.start, r.end)}
+        assert want[hashes[i]] <= covered, i
+
+
+def test_alignments_go_on_beyond_their_blocks(spark):
+    chains = spark.createDataFrame([(1, 2, 700, 730, 710, 740, 5)], substrings.CHAIN + ", chain long")
+    passage = prose(1500, 31, 5000)
+    texts = [" ".join([prose(100 + 10 * k, 40 + k, 5000), passage, prose(90, 50 + k, 5000)]) for k in range(2)]
+    texts = spark.createDataFrame([(k + 1, t) for k, t in enumerate(texts)], "h long, text string")
+    (near,) = substrings._align_all(texts, chains, 64).collect()
+    (far,) = substrings._align_all(texts, chains, 4096).collect()
+    assert near.more and not far.more and (far.s, far.e, far.rs, far.re) == (100, 1600, 110, 1610)
+
+
+def test_stretches_leave_out_what_differs():
+    assert sorted(substrings.stretches([(0, 0, 60), (100, 100, 3), (140, 140, 55)])) == [(0, 60, 0, 60, 1.0), (140, 195, 140, 195, 1.0)]
+
+
 # -- packing -----------------------------------------------------------------------------
 
 
