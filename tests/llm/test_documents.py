@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from llm_data import SCHEMA, brute_components, prose, rows
@@ -162,6 +163,29 @@ def test_stretches_leave_out_what_differs():
     assert sorted(substrings.stretches([(0, 0, 60), (100, 100, 3), (140, 140, 55)])) == [(0, 60, 0, 60, 1.0), (140, 195, 140, 195, 1.0)]
 
 
+@pytest.mark.parametrize("identity, least", [(0.8, 0.95), (0.85, 0.97), (0.9, 0.97)])
+@pytest.mark.parametrize("size", [50, 80, 120])
+def test_edited_passages_are_found(size, identity, least):
+    """One edited passage in two texts, by seeds, chains and alignments; all of them are passages as a whole."""
+    azar = np.random.default_rng(size)
+    new = lambda n: azar.integers(1 << 40, 1 << 60, n).astype(np.uint64)
+    hits = 0
+    for _ in range(100):
+        passage = new(size)
+        other = passage.copy()
+        n = round(size * (1 - identity))
+        other[azar.choice(size, n, replace=False)] = new(n)
+        a, b = np.r_[new(150), passage, new(150)], np.r_[new(157), other, new(150)]
+        (ha, pa), (hb, pb) = substrings.seeds(a), substrings.seeds(b)
+        _, i, j = np.intersect1d(ha, hb, return_indices=True)
+        frame = pd.DataFrame({"h": 1, "ref": 2, "pos": pa[i], "ref_pos": pb[j]}).sort_values("pos", ignore_index=True)
+        chains = substrings._chains_of(frame) if len(frame) else frame
+        found = [x for c in chains.itertuples() for x in substrings.align(a, b, c.s, c.rs, (False,) * 4)]
+        assert all(x[0] >= 150 - 10 and x[1] <= 150 + size + 10 and x[4] >= 0.8 - 1e-9 for x in found)
+        hits += any(x[1] - x[0] >= 50 for x in found)
+    assert hits >= 100 * least
+
+
 # -- packing -----------------------------------------------------------------------------
 
 
