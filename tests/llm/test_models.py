@@ -175,6 +175,15 @@ def test_lm_of_odd_rows(spark, odd, empty):
     assert {r.score for r in lm.score(odd, lm.fit(odd, good.filter("false"))).collect()} == {0.0}
 
 
+def test_class_tables_tell_words_apart():
+    """1,024 words of their own and 1,024 classes of endings: word pairs beyond the 767 commonest have counts of their own."""
+    vocab = [b"w%d" % i for i in range(1100)]
+    coder = lm.Coder(vocab)
+    assert len(set(coder.classes[:1024].tolist())) == 1024 and lm.END_CLASSES == 1024
+    ends = {coder.classes[coder.size + lm._end_class(b"x%c%c" % (a, b))] for a in range(97, 123) for b in range(97, 123)}
+    assert len(ends) > 256
+
+
 # -- embeddings and search ---------------------------------------------------------------
 
 VECTORS = "vec_id long, embedding array<float>, label int, id long, v string, node string"
