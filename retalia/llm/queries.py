@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from retalia.llm.chat import CHAT_SQL, op13_chat_formatting
 from retalia.llm.embeddings import EMBEDDINGS_SQL, op6_embeddings
 from retalia.llm.language import op5_language
 from retalia.llm.lm import op8_lm_scoring
@@ -28,9 +29,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
+    "op13_chat_formatting": op13_chat_formatting,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_embeddings": EMBEDDINGS_SQL,
     "op10_topk": TOPK_SQL,
+    "op13_chat_formatting": CHAT_SQL,
 }

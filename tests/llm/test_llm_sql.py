@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    for given in ("documents", "embeddings", "benchmark", "conversations"):
+        con.sql(f"CREATE VIEW {given} AS SELECT * FROM '{SF}/{given}.parquet'")
     want = con.sql(ORACLE_SQL[name])
     got = QUERIES[name](spark, SF)
     order = sorted(want.columns)
