@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from retalia.llm.chat import CHAT_SQL, op13_chat_formatting
 from retalia.llm.embeddings import EMBEDDINGS_SQL, op6_embeddings
 from retalia.llm.language import op5_language
+from retalia.llm.lexical import LEXICAL_SQL, op12_lexical_search
 from retalia.llm.lm import op8_lm_scoring
 from retalia.llm.mixing import op9_mixing
 from retalia.llm.packing import op2_packing
@@ -29,11 +30,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
+    "op12_lexical_search": op12_lexical_search,
     "op13_chat_formatting": op13_chat_formatting,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_embeddings": EMBEDDINGS_SQL,
     "op10_topk": TOPK_SQL,
+    "op12_lexical_search": LEXICAL_SQL,
     "op13_chat_formatting": CHAT_SQL,
 }
