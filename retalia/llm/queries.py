@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from retalia.llm.chat import CHAT_SQL, op13_chat_formatting
+from retalia.llm.collocations import COLLOCATIONS_SQL, op11_collocations
 from retalia.llm.embeddings import EMBEDDINGS_SQL, op6_embeddings
 from retalia.llm.language import op5_language
 from retalia.llm.lexical import LEXICAL_SQL, op12_lexical_search
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
+    "op11_collocations": op11_collocations,
     "op12_lexical_search": op12_lexical_search,
     "op13_chat_formatting": op13_chat_formatting,
 }
@@ -37,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op6_embeddings": EMBEDDINGS_SQL,
     "op10_topk": TOPK_SQL,
+    "op11_collocations": COLLOCATIONS_SQL,
     "op12_lexical_search": LEXICAL_SQL,
     "op13_chat_formatting": CHAT_SQL,
 }
