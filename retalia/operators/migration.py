@@ -9,6 +9,7 @@ from retalia.functions.numbers import exacto
 from retalia.functions.periods import mes_absoluto, meses_entre_periodos, periodo
 from retalia.operators.skew import join_repartido
 from retalia.params import Params
+from retalia.sources.workspace import asentar
 
 # Branch codes, in the order in which labels name them.
 SUCURSALES = ["SL", "R1", "R2"]
@@ -90,11 +91,13 @@ def _etiqueta_salida(origen: str, saldo: dict[str, Column]) -> Column:
     )
 
 
-def dim_cliente_tipo_migracion(pivotado: DataFrame) -> DataFrame:
+def dim_cliente_tipo_migracion(pivotado: DataFrame, apertura: DataFrame | None = None) -> DataFrame:
     """State of each customer-month, from running balances and those of the month before.
 
     One shuffle by customer serves both windows; a customer has at most one row per
-    month of the long window.
+    month of the long window.  ``apertura`` holds the balances with which customers enter
+    the first of these months (``cliente_id_limpio`` and ``sl_acumulado`` …); a customer
+    without a row there is new.
     """
     meses = Window.partitionBy("cliente_id_limpio").orderBy("anio", "mes")
     hasta_hoy = meses.rowsBetween(Window.unboundedPreceding, 0)
@@ -102,15 +105,26 @@ def dim_cliente_tipo_migracion(pivotado: DataFrame) -> DataFrame:
     previo = {s: F.col(f"_{s}_previo") for s in SUCURSALES}
 
     todo_cero = (F.col("SL") == 0) & (F.col("R1") == 0) & (F.col("R2") == 0)
-    con_saldos = (
-        pivotado.where(~todo_cero)
-        .withColumns(
-            {
-                f"{s.lower()}_acumulado": F.sum(exacto(s)).over(hasta_hoy).cast("double")
-                for s in SUCURSALES
-            }
+    con_compra = pivotado.where(~todo_cero)
+    inicial = {s: F.lit(None).cast("double") for s in SUCURSALES}
+    if apertura is not None:
+        inicial = {s: F.col(f"_{s}_inicial") for s in SUCURSALES}
+        iniciales = apertura.select(
+            F.col("cliente_id_limpio").alias("_cliente"),
+            *[F.col(f"{s.lower()}_acumulado").alias(f"_{s}_inicial") for s in SUCURSALES],
         )
-        .withColumns({f"_{s}_previo": F.lag(saldo[s]).over(meses) for s in SUCURSALES})
+        con_compra = con_compra.join(
+            iniciales, F.col("cliente_id_limpio").eqNullSafe(F.col("_cliente")), "left"
+        )
+    con_saldos = con_compra.withColumns(
+        {
+            f"{s.lower()}_acumulado": (
+                F.coalesce(exacto(inicial[s]), F.lit(0)) + F.sum(exacto(s)).over(hasta_hoy)
+            ).cast("double")
+            for s in SUCURSALES
+        }
+    ).withColumns(
+        {f"_{s}_previo": F.coalesce(F.lag(saldo[s]).over(meses), inicial[s]) for s in SUCURSALES}
     )
 
     # A first month goes by positive balances; later a branch counts unless it nets to 0.
@@ -135,6 +149,50 @@ def dim_cliente_tipo_migracion(pivotado: DataFrame) -> DataFrame:
     )
 
 
+def tipo_migracion_incremental(
+    previos: DataFrame, pivotado: DataFrame, inicio: int, desde: int
+) -> tuple[DataFrame, DataFrame]:
+    """States after an incremental run, equal to a full build, and the customers that were computed anew.
+
+    ``previos``: states of the run before, a stored table.  ``pivotado``: customer-months from
+    ``desde`` (``YYYYMM``) on, whole months; ``inicio``: first month of the window now.
+
+    Balances run from the start of the window, so a customer is touched if one of its months
+    from ``desde`` on differs or if a month of its left the window.  The first kind goes on
+    from the balance it had before ``desde``; the second is computed from its stored monthly
+    amounts.  All other rows are passed through: no line of an older month is read.
+    """
+    montos = ["cliente_id_limpio", "anio", "mes", *SUCURSALES]
+    mes = periodo(F.col("anio"), F.col("mes"))
+    nuevos = asentar(
+        pivotado.where((mes >= desde) & ((F.col("SL") != 0) | (F.col("R1") != 0) | (F.col("R2") != 0))).select(*montos),
+        "estados-meses",
+    )
+    # A customer-month that is the same before and now cancels out.
+    signo = previos.where(mes >= desde).select(*montos, F.lit(1).alias("_n"))
+    signo = signo.unionByName(nuevos.select(*montos, F.lit(-1).alias("_n")))
+    distintos = signo.groupBy(*montos).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    salidos = previos.where(mes < inicio).select("cliente_id_limpio", F.lit(True).alias("_entero"))
+    tocados = distintos.select("cliente_id_limpio", F.lit(False).alias("_entero")).unionByName(salidos)
+    tocados = tocados.groupBy(F.col("cliente_id_limpio").alias("_tocado")).agg(F.max("_entero").alias("_entero"))
+    tocados = asentar(tocados, "estados-tocados")
+
+    def marcadas(filas: DataFrame) -> DataFrame:
+        return filas.join(tocados, F.col("cliente_id_limpio").eqNullSafe(F.col("_tocado")), "left")
+
+    viejos = asentar(marcadas(previos.where(mes >= inicio)), "estados-previos")
+    ahora = marcadas(nuevos)
+    quedan = viejos.where(F.col("_entero").isNull() | (~F.col("_entero") & (mes < desde))).select(*previos.columns)
+    enteros = viejos.where(F.col("_entero") & (mes < desde)).select(*montos)
+    enteros = enteros.unionByName(ahora.where(F.col("_entero")).select(*montos))
+    ultimo = F.max(F.struct("anio", "mes", *[f"{s.lower()}_acumulado" for s in SUCURSALES]))
+    saldos = viejos.where(~F.col("_entero") & (mes < desde)).groupBy("cliente_id_limpio").agg(ultimo.alias("u"))
+    saldos = saldos.select("cliente_id_limpio", "u.*")
+    seguidos = dim_cliente_tipo_migracion(ahora.where(~F.col("_entero")).select(*montos), saldos)
+    estados = quedan.unionByName(dim_cliente_tipo_migracion(enteros)).unionByName(seguidos)
+    return estados, tocados.select(F.col("_tocado").alias("cliente_id_limpio"))
+
+
 def int_canibalizacion_migracion_base(pivotado: DataFrame, params: Params) -> DataFrame:
     """Customer-months of the event window, without one-month customers.
 

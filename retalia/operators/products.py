@@ -40,7 +40,8 @@ _KPIS = [
     "unidades_por_dia",
 ]
 _NORMAS = [f"norm_{corto}" for corto in _METRICAS.values()]
-_TRAMOS = ["tickets_1_2", "tickets_3_5", "tickets_6_mas"]
+TRAMOS = ["tickets_1_2", "tickets_3_5", "tickets_6_mas"]
+MEDIDAS = [*_KPIS, *TRAMOS]
 
 
 def medidas_por_producto(ventas_12m: DataFrame, params: Params) -> DataFrame:
@@ -89,30 +90,34 @@ def medidas_por_producto(ventas_12m: DataFrame, params: Params) -> DataFrame:
         .withColumn("dias_con_ventas", contar_dias(meses))
         .withColumn("unidades_por_ticket", razon(F.col("unidades_totales"), F.col("tickets_por_producto")))
         .withColumn("unidades_por_dia", razon(F.col("unidades_totales"), F.col("dias_con_ventas")))
-        .select(*_KPIS, *_TRAMOS)
+        .select(*_KPIS, *TRAMOS)
     )
 
 
 def medidas_sobre_umbral(ventas_12m: DataFrame, params: Params) -> DataFrame:
     """Measures above the sales threshold, written once for the scores and the ranking."""
-    medidas = medidas_por_producto(ventas_12m, params)
+    return sobre_umbral(medidas_por_producto(ventas_12m, params), params)
+
+
+def sobre_umbral(medidas: DataFrame, params: Params) -> DataFrame:
+    """The measures whose sales are above the threshold, written."""
     return asentar(
         medidas.where(F.col("ventas") > F.lit(float(params.top300_umbral_ventas_gs))), "top300-medidas"
     )
 
 
-def _normalizadas(sobre_umbral: DataFrame) -> DataFrame:
+def _normalizadas(medidas: DataFrame) -> DataFrame:
     """Measures with their 0..100 scores per scope.
 
-    ``sobre_umbral`` (:func:`medidas_sobre_umbral`) is read twice (extremes, rows).  The
+    ``medidas`` (:func:`medidas_sobre_umbral`) is read twice (extremes, rows).  The
     smallest logarithm of a scope is ln 1 = 0 and the largest that of its largest
     value, so one aggregate per scope is all that normalising needs.
     """
-    extremos = sobre_umbral.groupBy("ambito").agg(
+    extremos = medidas.groupBy("ambito").agg(
         *[F.min(m).alias(f"_min_{m}") for m in _METRICAS],
         *[F.max(m).alias(f"_max_{m}") for m in _METRICAS],
     )
-    con_extremos = adjuntar_por_grupo(sobre_umbral, extremos, ["ambito"], "producto_id")
+    con_extremos = adjuntar_por_grupo(medidas, extremos, ["ambito"], "producto_id")
     return con_extremos.select(
         *_KPIS,
         *[
@@ -123,7 +128,7 @@ def _normalizadas(sobre_umbral: DataFrame) -> DataFrame:
             ).alias(f"norm_{corto}")
             for m, corto in _METRICAS.items()
         ],
-        *_TRAMOS,
+        *TRAMOS,
     )
 
 
@@ -167,6 +172,6 @@ def top300_ranking(medidas: DataFrame, params: Params) -> DataFrame:
             "unidades_por_ticket",
             "unidades_por_dia",
             # a sale without point of sale belongs to no branch: its buckets stay 0
-            *[F.when(F.col("ambito").isNull(), 0).otherwise(F.col(t)).alias(t) for t in _TRAMOS],
+            *[F.when(F.col("ambito").isNull(), 0).otherwise(F.col(t)).alias(t) for t in TRAMOS],
         )
     )

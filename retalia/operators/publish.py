@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retalia.functions.periods import periodo
-from retalia.operators.sales import fct_ventas_36m
+from retalia.operators.sales import en_meses, fct_ventas_36m, lineas_36m
 from retalia.params import Params
 from retalia.sources.workspace import asentar
 
@@ -77,30 +78,62 @@ def refrescar_ventas_36m(previo: DataFrame | None, elegibles: DataFrame, params:
 # A table published in parts is a view over folders.  Which folders belong to it stands
 # in a manifest, a small Parquet table of its own; the view only names the manifest.
 _PROPIEDAD = "retalia.manifiesto"
+_MANIFIESTO = "orden int, parte string, ruta string, filas long, huella string"
+PARTES = 8  # parts a view names at most, beyond that the smallest are merged
+VECES = 2  # a part is merged along while it is at most so many times the parts behind it
 
 
-def partes_publicadas(spark: SparkSession, nombre: str) -> list[tuple[str, str]]:
-    """(part, path) of a table published in parts, oldest first; empty before its first run."""
+class Parte(NamedTuple):
+    parte: str
+    ruta: str
+    filas: int | None = None  # rows, where merging goes by them
+    huella: str | None = None  # fingerprint of the lines it was made of
+
+
+def _partes(spark: SparkSession, nombre: str) -> list[Parte]:
     if not spark.catalog.tableExists(nombre):
         return []
     propiedades = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{nombre}`").collect()}
     if _PROPIEDAD not in propiedades:
         return []
-    filas = spark.read.parquet(propiedades[_PROPIEDAD]).orderBy("orden").collect()  # a row for each part
-    return [(r.parte, r.ruta) for r in filas]
+    filas = spark.read.schema(_MANIFIESTO).parquet(propiedades[_PROPIEDAD]).orderBy("orden").collect()  # a row for each part
+    return [Parte(*r[1:]) for r in filas]
 
 
-def _publicar_partes(
-    spark: SparkSession, nombre: str, carpeta: str, partes: list[tuple[str, str]], consulta: str
-) -> DataFrame:
+def partes_publicadas(spark: SparkSession, nombre: str) -> list[tuple[str, str]]:
+    """(part, path) of a table published in parts, oldest first; empty before its first run."""
+    return [(p.parte, p.ruta) for p in _partes(spark, nombre)]
+
+
+def _publicar_partes(spark: SparkSession, nombre: str, carpeta: str, partes: list[Parte], consulta: str) -> DataFrame:
     """Write the manifest, then replace the view: readers see the old parts or the new ones."""
     ruta = f"{carpeta.rstrip('/')}/{nombre}/manifiesto-{uuid.uuid4().hex}"
-    filas = [(i, parte, r) for i, (parte, r) in enumerate(partes)]
-    spark.createDataFrame(filas, "orden int, parte string, ruta string").coalesce(1).write.parquet(ruta)
+    filas = [(i, *p) for i, p in enumerate(partes)]
+    spark.createDataFrame(filas, _MANIFIESTO).coalesce(1).write.parquet(ruta)
     spark.sql(f"CREATE OR REPLACE VIEW `{nombre}` TBLPROPERTIES ('{_PROPIEDAD}' = '{ruta}') AS {consulta}")
     return spark.table(nombre)
 
 
+def _contar(spark: SparkSession, ruta: str) -> int:
+    return spark.read.parquet(ruta).count()  # from the file footers
+
+
+def a_fusionar(filas: list[int], partes: int = PARTES, veces: int = VECES) -> int:
+    """How many of the newest parts to merge into one, given their rows, oldest first.
+
+    None up to ``partes`` parts.  Beyond it the newest ones are merged, and along with them
+    every older part that is at most ``veces`` times as large as what is behind it.  So a
+    view never names more than ``partes``, and a row is rewritten about once each time that
+    the rows behind it have doubled, not in every run.
+    """
+    if len(filas) <= partes:
+        return 0
+    cuantas = len(filas) - partes + 1
+    while cuantas < len(filas) and filas[-cuantas - 1] <= veces * sum(filas[-cuantas:]):
+        cuantas += 1
+    return cuantas
+
+
 def _version(nombre: str, carpeta: str) -> str:
     return f"{carpeta.rstrip('/')}/{nombre}/version-{uuid.uuid4().hex}"
 
@@ -110,31 +143,39 @@ def _nombres(columnas: list[str]) -> str:
 
 
 def publicar_meses(
-    nuevos: DataFrame, nombre: str, carpeta: str, inicio: dt.date, desde: dt.date
+    nuevos: DataFrame,
+    nombre: str,
+    carpeta: str,
+    inicio: dt.date,
+    desde: dt.date,
+    meses: Collection[int] | None = None,
+    huellas: dict[int, str] | None = None,
 ) -> DataFrame:
-    """Replace the months from ``desde`` on of a published table; write nothing else.
+    """Replace months of a published table; write nothing else.
 
-    ``nuevos`` holds all rows of those months (columns ``anio`` and ``mes``).  They go
-    to a fresh path with one folder per month; the catalogue view ``nombre`` is then
-    replaced by one over these folders and those of the untouched months not before
-    ``inicio``.  A month that became empty disappears with its folder left unlisted.
+    ``nuevos`` holds all rows of the replaced months (columns ``anio`` and ``mes``): those
+    from ``desde`` on, or ``meses`` (``YYYYMM``).  They go to a fresh path with one folder
+    per month; the catalogue view ``nombre`` is then replaced by one over these folders and
+    those of the untouched months not before ``inicio``.  A month that became empty
+    disappears with its folder left unlisted.  ``huellas`` are kept with the new months.
     """
     spark = nuevos.sparkSession
     a_mes = inicio.year * 100 + inicio.month, desde.year * 100 + desde.month
-    antes = partes_publicadas(spark, nombre)
-    meses = {int(p): r for p, r in antes if a_mes[0] <= int(p) < a_mes[1]}
+    antes = {int(p.parte): p for p in _partes(spark, nombre)}
+    quedan = {m: p for m, p in antes.items() if m >= a_mes[0] and (m < a_mes[1] if meses is None else m not in meses)}
 
     ruta = _version(nombre, carpeta)
     con_periodo = nuevos.withColumn("periodo", periodo(F.col("anio"), F.col("mes")))
     con_periodo.hint("rebalance", "periodo").write.partitionBy("periodo").parquet(ruta)
     escritos = spark.read.schema(con_periodo.schema).parquet(ruta).select("periodo").distinct()
-    meses |= {r.periodo: f"{ruta}/periodo={r.periodo}" for r in escritos.collect()}  # months only
+    for r in escritos.collect():  # months only
+        quedan[r.periodo] = Parte(str(r.periodo), f"{ruta}/periodo={r.periodo}", None, (huellas or {}).get(r.periodo))
 
     columnas = _nombres(nuevos.columns)
-    partes = [f"SELECT {columnas} FROM parquet.`{meses[p]}`" for p in sorted(meses)]
+    partes = [quedan[m] for m in sorted(quedan)]
     vacia = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in nuevos.schema)
-    consulta = " UNION ALL ".join(partes) or f"SELECT {vacia} WHERE false"
-    return _publicar_partes(spark, nombre, carpeta, [(str(p), meses[p]) for p in sorted(meses)], consulta)
+    consulta = " UNION ALL ".join(f"SELECT {columnas} FROM parquet.`{p.ruta}`" for p in partes)
+    return _publicar_partes(spark, nombre, carpeta, partes, consulta or f"SELECT {vacia} WHERE false")
 
 
 def publicar_por_clave(
@@ -142,11 +183,13 @@ def publicar_por_clave(
 ) -> DataFrame:
     """Incremental run of a keyed table: only rows that are new or differ are written.
 
-    Each run adds a part; a reader takes the row of the latest part of each key.  The
-    first run, and one with ``completa``, writes all of ``nuevo`` as the only part.
+    Each run adds a part; a reader takes the row of the latest part of each key.  Beyond
+    ``PARTES`` parts the newest are merged (:func:`a_fusionar`): written anew as one, with
+    the latest row of each key.  The first run, and one with ``completa``, writes all of
+    ``nuevo`` as the only part.
     """
     spark = nuevo.sparkSession
-    partes = [] if completa else partes_publicadas(spark, nombre)
+    partes = [] if completa else _partes(spark, nombre)
     if partes:
         actual = spark.table(nombre)
         otras = [c for c in nuevo.columns if c not in claves]
@@ -156,14 +199,23 @@ def publicar_por_clave(
         nuevo = nuevo.join(ya, reduce(lambda a, b: a & b, [*iguales, igual]), "left_anti")
     ruta = _version(nombre, carpeta)
     nuevo.write.parquet(ruta)
-    partes = [*partes, (f"{len(partes):06d}", ruta)]
-    columnas = nuevo.columns
-    todas = " UNION ALL ".join(f"SELECT {_nombres(columnas)}, '{p}' AS _parte FROM parquet.`{r}`" for p, r in partes)
-    ultima = ", ".join(f"max_by(`{c}`, _parte) AS `{c}`" if c not in claves else f"`{c}`" for c in columnas)
-    consulta = f"SELECT {ultima} FROM ({todas}) GROUP BY {_nombres(claves)}"
+    numero = int(partes[-1].parte) + 1 if partes else 0
+    partes = [*partes, Parte(f"{numero:06d}", ruta, _contar(spark, ruta))]
+    juntas = a_fusionar([_contar(spark, p.ruta) if p.filas is None else p.filas for p in partes])
+    if juntas:
+        ruta = _version(nombre, carpeta)
+        spark.sql(_ultimas(partes[-juntas:], nuevo.columns, claves)).write.parquet(ruta)
+        partes = [*partes[:-juntas], Parte(partes[-1].parte, ruta, _contar(spark, ruta))]
+    return _publicar_partes(spark, nombre, carpeta, partes, _ultimas(partes, nuevo.columns, claves))
+
+
+def _ultimas(partes: list[Parte], columnas: list[str], claves: list[str]) -> str:
+    """Of each key the row of the latest part that has it."""
     if len(partes) == 1:
-        consulta = f"SELECT {_nombres(columnas)} FROM parquet.`{ruta}`"
-    return _publicar_partes(spark, nombre, carpeta, partes, consulta)
+        return f"SELECT {_nombres(columnas)} FROM parquet.`{partes[0].ruta}`"
+    todas = " UNION ALL ".join(f"SELECT {_nombres(columnas)}, '{p.parte}' AS _parte FROM parquet.`{p.ruta}`" for p in partes)
+    ultima = ", ".join(f"max_by(`{c}`, _parte) AS `{c}`" if c not in claves else f"`{c}`" for c in columnas)
+    return f"SELECT {ultima} FROM ({todas}) GROUP BY {_nombres(claves)}"
 
 
 def publicar_mapeo(nuevo: DataFrame, nombre: str, carpeta: str, completa: bool = False) -> DataFrame:
@@ -186,6 +238,37 @@ def publicar_ventas_36m(
     )
 
 
+def huellas_por_mes(lineas: DataFrame) -> DataFrame:
+    """``periodo`` and ``huella``: the same for the same lines in any order, repeated ones counted.
+
+    Two independent 64-bit hashes of each line are summed exactly, beside the number of
+    lines: one pass with partial sums, a row for each month behind the shuffle.
+    """
+    columnas = sorted(lineas.columns)
+    sumas = [
+        F.sum(F.xxhash64(F.lit(semilla), *columnas).cast("decimal(20,0)")).cast("string") for semilla in ("a", "b")
+    ]
+    return lineas.groupBy(periodo(F.col("anio"), F.col("mes")).alias("periodo")).agg(
+        F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sumas).alias("huella")
+    )
+
+
+def publicar_correcciones(elegibles: DataFrame, params: Params, nombre: str, carpeta: str) -> DataFrame:
+    """Incremental run of the monthly table that finds the months whose lines differ.
+
+    The lines of the whole window are fingerprinted by month, without shuffling them, and
+    compared with the fingerprints kept in the manifest.  Exactly the months that differ are
+    rebuilt and written: a correction of any age, a month that is new, one that is gone, one
+    that was published without a fingerprint.  Equal to a full build.
+    """
+    inicio = params.inicio_ventana(params.meses_ventana_canibalizacion)
+    antes = {int(p.parte): p.huella for p in _partes(elegibles.sparkSession, nombre)}
+    ahora = dict(huellas_por_mes(lineas_36m(elegibles, params)).collect())  # a row for each month
+    cambiados = {m for m in antes.keys() | ahora.keys() if antes.get(m) is None or antes.get(m) != ahora.get(m)}
+    nuevos = fct_ventas_36m(en_meses(elegibles, cambiados), params)
+    return publicar_meses(nuevos, nombre, carpeta, inicio, inicio, cambiados, ahora)
+
+
 # -- history -----------------------------------------------------------------------
 
 _VERSION = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
@@ -317,13 +400,13 @@ def publicar_historia(
 ) -> DataFrame:
     """One run of a stored history; ``foto`` is :func:`snapshot_tipo_migracion` or its like.
 
-    Closed versions are never read or written again: a run reads the open ones, appends a
-    part with those it closes, and replaces the part of the open ones.  Its cost follows
-    the dataset, not the length of the history.
+    A run reads the open versions, appends a part with those it closes, and replaces the
+    part of the open ones.  Closed versions are only written again when parts are merged
+    (:func:`a_fusionar`).  Its cost follows the dataset, not the length of the history.
     """
     spark = actual.sparkSession
-    partes = [] if completa else partes_publicadas(spark, nombre)
-    abiertas = [r for p, r in partes if p == "abiertas"]
+    partes = [] if completa else _partes(spark, nombre)
+    abiertas = [p.ruta for p in partes if p.parte == "abiertas"]
     historia = foto(actual, spark.read.parquet(abiertas[0]) if abiertas else None, ahora)
     # The parts are written from one stored result: it is computed once.
     historia = asentar(historia, "historia")
@@ -331,7 +414,14 @@ def publicar_historia(
     rutas = {"cerradas": _version(nombre, carpeta), "abiertas": _version(nombre, carpeta)}
     historia.where(cerrada).write.parquet(rutas["cerradas"])
     historia.where(~cerrada).write.parquet(rutas["abiertas"])
-    partes = [(p, r) for p, r in partes if p == "cerradas"] + list(rutas.items())
+    cerradas = [p for p in partes if p.parte == "cerradas"]
+    cerradas.append(Parte("cerradas", rutas["cerradas"], _contar(spark, rutas["cerradas"])))
+    juntas = a_fusionar([_contar(spark, p.ruta) if p.filas is None else p.filas for p in cerradas])
+    if juntas:
+        ruta = _version(nombre, carpeta)
+        spark.read.schema(historia.schema).parquet(*[p.ruta for p in cerradas[-juntas:]]).write.parquet(ruta)
+        cerradas = [*cerradas[:-juntas], Parte("cerradas", ruta, _contar(spark, ruta))]
+    partes = [*cerradas, Parte("abiertas", rutas["abiertas"])]
     columnas = _nombres(historia.columns)
-    consulta = " UNION ALL ".join(f"SELECT {columnas} FROM parquet.`{r}`" for _, r in partes)
+    consulta = " UNION ALL ".join(f"SELECT {columnas} FROM parquet.`{p.ruta}`" for p in partes)
     return _publicar_partes(spark, nombre, carpeta, partes, consulta)

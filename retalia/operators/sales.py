@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,6 +132,21 @@ def en_ventana(ventas: DataFrame, inicio: dt.date, fin: dt.date) -> DataFrame:
     return ventas.where((F.col("fecha_venta") >= F.lit(inicio)) & (F.col("fecha_venta") < F.lit(fin)))
 
 
+def en_meses(ventas: DataFrame, meses: Collection[int]) -> DataFrame:
+    """Lines of some months (``YYYYMM``), as ranges of days that reach the scan."""
+    rangos: list[list[int]] = []
+    for n in sorted(m // 100 * 12 + m % 100 - 1 for m in meses):
+        if rangos and rangos[-1][1] == n:
+            rangos[-1][1] += 1
+        else:
+            rangos.append([n, n + 1])
+    dia = F.col("fecha_venta")
+    dentro = F.lit(False)
+    for a, b in rangos:
+        dentro |= (dia >= F.lit(dt.date(a // 12, a % 12 + 1, 1))) & (dia < F.lit(dt.date(b // 12, b % 12 + 1, 1)))
+    return ventas.where(dentro)
+
+
 def int_ventas_12m(elegibles: DataFrame, params: Params) -> DataFrame:
     return en_ventana(elegibles, params.inicio_ventana(params.ventana_meses_12m), params.corte)
 

@@ -17,6 +17,10 @@ from retalia.plans.queries import (
     AS_OF_PREVIO,
     CLIENTE_PRUEBA,
     CONOCIDO_HASTA,
+    CORREGIDO,
+    CORRIDAS,
+    FOTOS,
+    MESES_CONSULTA,
     MOMENTO,
     MOMENTO_PREVIO,
     UMBRAL_VENTAS,
@@ -695,7 +699,72 @@ ORACLE_SQL: dict[str, str] = {
     ),
 }
 
+
+
+def _meses_corregidos() -> str:
+    antes, hoy = params(AS_OF_PREVIO), params()
+    wrong = f"date_trunc('month', fecha_venta) = date '{CORREGIDO}'"
+
+    def by_month(amount: str, cond: str) -> str:
+        return f"""select cast(year(fecha_venta) * 100 + month(fecha_venta) as int) as periodo, count(*) as n,
+          {_money(amount)} as total from eligible where {cond} group by 1"""
+
+    known = f"""fecha_venta >= date '{antes.inicio_ventana(36)}' and fecha_venta < date '{CONOCIDO_HASTA}'
+      and not ({wrong} and pdv_id = '4')"""
+    now = f"fecha_venta >= date '{hoy.inicio_ventana(36)}' and fecha_venta < date '{hoy.corte}'"
+    return _con(
+        _BASE,
+        f"""select n.periodo, k.n is distinct from n.n or k.total is distinct from n.total as refrescado
+        from ({by_month('venta_gs', now)}) n
+        left join ({by_month(f"case when {wrong} and pdv_id = '3' then 2 * venta_gs else venta_gs end", known)}) k
+          on k.periodo = n.periodo""",
+    )
+
+
+def _etiqueta_en_fecha() -> str:
+    """The label of the latest snapshot up to the date that holds the customer-month."""
+    ctes = {**_HOY, **_ctes(FOTOS[0], "_a"), **_ctes(FOTOS[1], "_b")}
+    shots = " union all ".join(
+        f"select timestamp '{day} 06:00:00' as taken, cliente_id_limpio as c, anio as y, mes as m, tipo_cliente as label from states{tag}"
+        for day, tag in zip(FOTOS, ("_a", "_b", ""), strict=True)
+    )
+    ctes["shots"] = shots
+    ctes["asked"] = f"""select cliente_id_limpio, anio, mes, local_destino, tipo_cliente as tipo_evento,
+      cast(make_date(anio, mes, 1) + interval {MESES_CONSULTA} month as timestamp) as fecha_consulta from events"""
+    return _con(
+        ctes,
+        """select a.*, (select arg_max(label, taken) from shots
+             where c = a.cliente_id_limpio and y = a.anio and m = a.mes and taken <= a.fecha_consulta) as tipo_cliente
+           from asked a""",
+    )
+
+
 ORACLE_SQL |= {
+    "publicar_correcciones": ORACLE_SQL["ventas_36m"],
+    "meses_corregidos": _meses_corregidos(),
+    "publicar_mapeo_fusionado": _con(
+        _BASE,
+        f"""select cliente_id, min(cliente_id_limpio) as cliente_id_limpio from (
+              select cliente_id, cliente_id_limpio from normalized union all
+              select cliente_id, {_derived(_trimmed(_stripped('cliente_id')))} from sales
+              where fecha_venta < date '{CORRIDAS[-1]}' and cliente_id in (select cliente_id from orphans))
+            group by cliente_id having min(cliente_id_limpio) is not null""",
+    ),
+    "etiqueta_en_fecha": _etiqueta_en_fecha(),
+    "ultima_venta_por_id": _hoy(
+        """select * exclude (k, fila) from (
+          select a.*, s.fecha_venta, s.factura_nro, s.venta_gs, row_number() over (
+            partition by k order by s.fecha_venta desc, s.factura_nro desc, s.venta_gs desc) as fila
+          from asked a left join sales s on s.cliente_id = a.cliente_id and s.fecha_venta < a.fecha_evento)
+        where fila = 1""",
+        {
+            "asked": """select e.cliente_id_limpio, local_destino, make_date(anio, mes, 1) as fecha_evento,
+              m.cliente_id, row_number() over () as k
+            from events e join mapping m on m.cliente_id_limpio = e.cliente_id_limpio"""
+        },
+    ),
+    "tipo_migracion_incremental": ORACLE_SQL["tipo_migracion"],
+    "top300_meses": ORACLE_SQL["top300_ranking"],
     "publicar_tabla": ORACLE_SQL["top300_ranking"],
     "publicar_ventas_36m": ORACLE_SQL["ventas_36m"],
     "publicar_mapeo": ORACLE_SQL["upsert_mapeo"],

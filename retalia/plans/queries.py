@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from retalia.functions import ids
 from retalia.functions.numbers import exacto, log_desde_minimo, normalizar_desde_log
 from retalia.functions.periods import fecha_corte_mes_cerrado, meses_entre_periodos, periodo
-from retalia.operators import customers, diagnostics, publish, quality, sales
+from retalia.operators import customers, diagnostics, historia, mensual, migration, products, publish, quality, sales
 from retalia.operators.skew import adjuntar_por_grupo
 from retalia.params import Params
 from retalia.plans.retail import Retail
@@ -31,6 +31,10 @@ MOMENTO_PREVIO = dt.datetime(2001, 6, 15, 6, 0)
 UMBRAL_VENTAS = 100_000
 CLIENTE_PRUEBA = "100008"
 VENCIDA = dt.date(2001, 10, 15)  # two months after the last sale
+CORREGIDO = dt.date(2000, 9, 1)  # month whose lines were wrong at the earlier run
+CORRIDAS = [dt.date(2000, 6 + k, 1) if k < 7 else dt.date(2001, k - 6, 1) for k in range(11)]  # ends of monthly runs
+FOTOS = [dt.date(2000, 7, 15), dt.date(2001, 1, 15), AS_OF]  # runs that took a snapshot, at six in the morning
+MESES_CONSULTA = 7  # months from an event to the date at which its label is asked for
 
 
 def params(as_of: dt.date = AS_OF) -> Params:
@@ -162,6 +166,106 @@ def scd2_mayoristas(spark: SparkSession, carpeta: str) -> DataFrame:
     return publish.snapshot_mayoristas(hoy, historia, MOMENTO)
 
 
+def _conocidas_con_error(r: Retail) -> DataFrame:
+    """Eligible lines as the earlier run saw them: ten months back one branch was missing and one counted twice."""
+    dia, pdv = F.col("fecha_venta"), F.col("pdv_id")
+    mes = (dia >= F.lit(CORREGIDO)) & (dia < F.add_months(F.lit(CORREGIDO), 1))
+    lineas = r.int_ventas_elegibles.where((dia < F.lit(CONOCIDO_HASTA)) & ~(mes & (pdv == "4")))
+    return lineas.withColumn("venta_gs", F.when(mes & (pdv == "3"), 2 * F.col("venta_gs")).otherwise(F.col("venta_gs")))
+
+
+def _publicar_correcciones(spark: SparkSession, carpeta: str) -> tuple[DataFrame, dict[str, str], dict[str, str]]:
+    """The table after the later run, and the paths of its months before and after that run."""
+    nombre = _nombre("ventas_36m")
+    antes, hoy = retail(spark, carpeta, AS_OF_PREVIO), retail(spark, carpeta)
+    publish.publicar_correcciones(_conocidas_con_error(antes), antes.params, nombre, _carpeta(spark))
+    previas = dict(publish.partes_publicadas(spark, nombre))
+    tabla = publish.publicar_correcciones(hoy.int_ventas_elegibles, hoy.params, nombre, _carpeta(spark))
+    return tabla, previas, dict(publish.partes_publicadas(spark, nombre))
+
+
+def publicar_correcciones(spark: SparkSession, carpeta: str) -> DataFrame:
+    """Run with wrong lines ten months back, then with the right ones: equal to a full build."""
+    return _publicar_correcciones(spark, carpeta)[0]
+
+
+def meses_corregidos(spark: SparkSession, carpeta: str) -> DataFrame:
+    """Months of the published table, and whether the later run wrote them."""
+    _, previas, rutas = _publicar_correcciones(spark, carpeta)
+    filas = [(int(m), ruta != previas.get(m)) for m, ruta in rutas.items()]
+    return spark.createDataFrame(filas, "periodo int, refrescado boolean")
+
+
+def publicar_mapeo_fusionado(spark: SparkSession, carpeta: str) -> DataFrame:
+    """The mapping after a first run and ten monthly ones: more than a view may name, so parts were merged."""
+    nombre, r, desde = _nombre("clientes_mapeo"), retail(spark, carpeta), None
+    for hasta in CORRIDAS:
+        conocidas = r.stg_ventas.where(F.col("fecha_venta") < F.lit(hasta))
+        nuevo = customers.int_clientes_mapeo_limpio(r.int_clientes_normalizados, conocidas, desde=desde)
+        tabla, desde = publish.publicar_mapeo(nuevo, nombre, _carpeta(spark)), hasta
+    return tabla
+
+
+def etiqueta_en_fecha(spark: SparkSession, carpeta: str) -> DataFrame:
+    """Of each migration event, the label of its customer-month that was reported some months later."""
+    pasada = None
+    for as_of in FOTOS:
+        tipos = retail(spark, carpeta, as_of).dim_cliente_tipo_migracion
+        momento = dt.datetime.combine(as_of, dt.time(6))
+        pasada = asentar(publish.snapshot_tipo_migracion(tipos, pasada, momento), "historia-tipo")
+    consulta = F.add_months(F.make_date("anio", "mes", F.lit(1)), MESES_CONSULTA)
+    eventos = retail(spark, carpeta).dim_cliente_migracion_eventos.select(
+        "cliente_id_limpio",
+        "anio",
+        "mes",
+        "local_destino",
+        F.col("tipo_cliente").alias("tipo_evento"),
+        consulta.cast("timestamp_ntz").alias("fecha_consulta"),
+    )
+    eventos = asentar(eventos, "eventos")
+    claves = ["cliente_id_limpio", "anio", "mes"]
+    return historia.en_fecha(eventos, pasada, claves, "fecha_consulta", ["tipo_cliente"])
+
+
+def ultima_venta_por_id(spark: SparkSession, carpeta: str) -> DataFrame:
+    """Last sale of each raw id of an event's customer before the month of the event."""
+    r = retail(spark, carpeta)
+    eventos = r.dim_cliente_migracion_eventos.select(
+        "cliente_id_limpio", "local_destino", F.make_date("anio", "mes", F.lit(1)).alias("fecha_evento")
+    )
+    hechos = asentar(eventos.join(r.int_clientes_mapeo_limpio, "cliente_id_limpio"), "eventos-por-id")
+    valores = ["factura_nro", "venta_gs"]
+    return historia.ultimo_antes(hechos, r.stg_ventas, ["cliente_id"], "fecha_evento", "fecha_venta", valores)
+
+
+def tipo_migracion_incremental(spark: SparkSession, carpeta: str) -> DataFrame:
+    """States of the earlier run carried forward: only the months of the look-back are read."""
+    antes, hoy = retail(spark, carpeta, AS_OF_PREVIO), retail(spark, carpeta)
+    conocidas = sales.lineas_36m(
+        antes.int_ventas_elegibles.where(F.col("fecha_venta") < F.lit(CONOCIDO_HASTA)), antes.params
+    )
+    pivotado = migration.fct_ventas_36m_pivotado(conocidas, antes.sucursales, antes.stg_clientes_limpio)
+    previos = asentar(migration.dim_cliente_tipo_migracion(pivotado), "estados-antes")
+    desde, p = hoy.params.inicio_lookback_mes, hoy.params
+    lineas = sales.lineas_36m(hoy.int_ventas_elegibles, p, desde=desde)
+    pivotado = migration.fct_ventas_36m_pivotado(lineas, hoy.sucursales, hoy.stg_clientes_limpio)
+    inicio = p.inicio_ventana(p.meses_ventana_canibalizacion)
+    return migration.tipo_migracion_incremental(
+        previos, pivotado, inicio.year * 100 + inicio.month, desde.year * 100 + desde.month
+    )[0]
+
+
+def top300_meses(spark: SparkSession, carpeta: str) -> DataFrame:
+    """The ranking from stored months: the later run reads the lines of the look-back only."""
+    nombre = _nombre("parciales")
+    antes, hoy = retail(spark, carpeta, AS_OF_PREVIO), retail(spark, carpeta)
+    conocidas = antes.int_ventas_elegibles.where(F.col("fecha_venta") < F.lit(CONOCIDO_HASTA))
+    mensual.publicar_parciales(conocidas, antes.params, nombre, _carpeta(spark))
+    tablas = mensual.publicar_parciales(hoy.int_ventas_elegibles, hoy.params, nombre, _carpeta(spark))
+    medidas = products.sobre_umbral(mensual.medidas_de_meses(*tablas), hoy.params)
+    return products.top300_ranking(medidas, hoy.params)
+
+
 # -- checks ------------------------------------------------------------------------
 
 
@@ -399,6 +503,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publicar_historia_mayoristas": _publicar_historia(
         "historia_mayoristas", "dim_clientes_mayoristas", publish.snapshot_mayoristas
     ),
+    "publicar_correcciones": publicar_correcciones,
+    "meses_corregidos": meses_corregidos,
+    "publicar_mapeo_fusionado": publicar_mapeo_fusionado,
+    "etiqueta_en_fecha": etiqueta_en_fecha,
+    "ultima_venta_por_id": ultima_venta_por_id,
+    "tipo_migracion_incremental": tipo_migracion_incremental,
+    "top300_meses": top300_meses,
     "lineas_descartadas": lineas_descartadas,
     "check_schema": check_schema,
     "check_not_null": check_not_null,
