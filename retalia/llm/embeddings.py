@@ -4,7 +4,9 @@ Equal vectors become one class with a count.  The second moments of all unit vec
 by Spark; their eigenvectors, by falling eigenvalue, are the order of dimensions in which
 products are accumulated.  Classes stand in tiles by ranges of the first principal component:
 vectors with a cosine of t or more differ there by at most sqrt(2 - 2t), so tiles farther
-apart never meet.  A range with too many members is cut by hash, so no tile grows with the data.
+apart never meet.  There are about ``GRID`` tiles, more only where a tile would hold over ``TILE``
+vectors: a vector is sent once for each tile it meets, so few large tiles are sent least.  A range
+with too many members is cut by hash, so no tile grows beyond that with the data.
 
 A unit of work is a pair of tiles.  It adds products over the leading dimensions first, bounds
 what is left by the product of the suffix norms, drops rows and columns in which no pair can
@@ -32,10 +34,11 @@ from retalia.llm.common import stored, table
 from retalia.llm.components import components
 from retalia.llm.topk import valid
 
-TILE = 2048
+GRID = 8  # tiles, while they are no larger than TILE
+LEAST = 256  # classes of a tile, if there are so many
+TILE = 32_768
 BLOCK = 512  # rows of a tile compared at a time
 STEP = 8  # dimensions between two looks at the bounds
-NULL_ID = (1 << 63) - 1  # stands for a null id
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -136,21 +139,27 @@ def compare(left: pd.DataFrame, right: pd.DataFrame, rotation: np.ndarray, thres
     return pd.DataFrame({"node": node[some], "links": links[some], "root": node[label[some]]})
 
 
+def _by_id(name: str) -> Column:
+    """An id with null ids behind all others."""
+    return F.struct(F.col(name).isNull().alias("none"), F.col(name).alias("id"))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept: a row for every row of ``vectors``."""
     v = F.col(vec_col)
     fine = valid(v) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.when(fine, v).alias("v"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.when(fine, v).alias("v"))
     ids = stored(rows.withColumn("node", F.when(F.col("v").isNotNull(), F.xxhash64("v"))), "embed-rows")
-    classes = ids.filter("v IS NOT NULL").groupBy("node", "v").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
+    classes = ids.filter("v IS NOT NULL").groupBy("node", "v").agg(F.min(_by_id("id")).alias("rep"), F.count("*").alias("n"))
     classes = stored(classes.withColumn("dim", F.size("v")), "embed-classes")
     rotation = rotations(moments(classes))
     first = classes.select("dim", "node", "v", "n", first_component(F.col("v"), F.col("dim"), rotation).alias("pc"))
     first = stored(first, "embed-components")
-    # Tiles: ranges of the first component with about TILE classes each.
+    # Tiles: ranges of the first component with about as many classes each.
     count = first.count()
-    shares = [i * TILE / count for i in range(1, -(-count // TILE))] if count else []
-    cuts = np.unique(first.approxQuantile("pc", shares, min(0.01, TILE / count / 8))) if shares else np.zeros(0)
+    tile = min(TILE, max(LEAST, -(-count // GRID)))
+    shares = [i * tile / count for i in range(1, -(-count // tile))] if count else []
+    cuts = np.unique(first.approxQuantile("pc", shares, min(0.01, tile / count / 8))) if shares else np.zeros(0)
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9
     lows = np.r_[-np.inf, cuts]
     last = np.searchsorted(lows, np.r_[cuts, np.inf] + reach, side="right") - 1  # last range that a range can reach
@@ -161,7 +170,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
         return pd.DataFrame({"range": at.astype(np.int32), "last": last[at].astype(np.int32)})
 
     placed = first.withColumn("r", ranged("pc")).select("dim", "node", "v", "n", "r.range", "r.last")
-    parts = placed.groupBy("range").agg(F.ceil(F.count("*") / (2 * TILE)).cast("int").alias("parts"))
+    parts = placed.groupBy("range").agg(F.ceil(F.count("*") / (2 * tile)).cast("int").alias("parts"))
     parts = stored(parts, "embed-ranges")
     placed = placed.join(parts, "range").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int"))
     placed = stored(placed.drop("parts"), "embed-tiles")
@@ -193,9 +202,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     least = stored(members.groupBy("root").agg(F.min("rep").alias("component_id")), "embed-roots")
     named = stored(members.join(least, "root").select("node", "n_links", "component_id"), "embed-named")
     out = ids.select("id", "node").join(named, "node", "left")
-    own = F.when(F.col("id") < NULL_ID, F.col("id"))
-    component = F.coalesce("component_id", "id")
-    component = F.when(component < NULL_ID, component)
+    own = F.col("id")
+    component = F.when(F.col("component_id").isNotNull(), F.col("component_id.id")).otherwise(own)
     return out.select(
         own.alias("vec_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

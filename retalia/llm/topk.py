@@ -6,20 +6,24 @@ upper bound of the score, (|q|^2 + |x|^2 - bound^2) / 2.  Rows of a block are sc
 order of that bound, and a query is done with a block as soon as the next bound is below its
 k-th score so far (a tie of bound and score is still scored, for the smaller id).
 
-Rows are dealt into blocks of about ``BLOCK`` vectors, each with its row of the pivot table, and
-queries into blocks of ``QUERIES``.  The stated query set meets all rows, a pair of blocks a unit
-of work, and what the units find is ranked once more.  The pivots are picked, far apart, from a
+Rows are dealt into ``GRID`` blocks, into more only where a block would hold over ``BLOCK`` vectors,
+each with its row of the pivot table, and queries into blocks of ``QUERIES``.  The stated query set
+meets all rows, a pair of blocks a unit of work, and what the units find is ranked once more.  So a
+row is sent once for each block of queries, and a query once for each of the few blocks of rows.  The pivots are picked, far apart, from a
 bounded sample of rows (the ``SAMPLE`` smallest hashes); they only affect speed.
 
 Edge cases: vectors that are null, empty, or hold null or non-finite components take no part;
 vectors of different lengths are not compared; rows that repeat are candidates each, and with
 equal scores and ids in any order; a query's own row is left out by its id, so other rows with
 that id are no candidates either, and rows that share a query id answer together; a null id takes
-no part; components times 256 must fit in a long.
+no part; scores that pass 52 bits are computed with whole numbers of any size, and one of the best
+that does not fit in a long is an error.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,14 +33,19 @@ from retalia.llm.common import stored, table
 
 PIVOTS = 32
 SAMPLE = 1024
-BLOCK = 1024
-QUERIES = 1024
+GRID = 16  # blocks of rows, while they are no larger than BLOCK
+LEAST = 256  # rows of a block, if there are so many
+BLOCK = 32_768
+QUERIES = 8192
 CHUNK = 256  # rows scored between two looks at the bounds
 
 
-def quantized(embedding: Column) -> Column:
-    """floor(256 x) of each component."""
-    return F.transform(embedding, lambda x: F.floor(x.cast("double") * 256.0).cast("long"))
+def quantized(x: np.ndarray) -> np.ndarray:
+    """floor(256 x) of each component, as doubles if these are exact, else as whole numbers of any size."""
+    scaled = np.floor(x * 256.0)
+    if np.abs(scaled).max(initial=0) < 2.0**52:
+        return scaled
+    return np.array([[int(256 * Fraction(c) // 1) for c in row] for row in x.tolist()], object).reshape(x.shape)
 
 
 def valid(embedding: Column) -> Column:
@@ -59,23 +68,33 @@ def distances(v: Column, dim: Column, pivots: dict[int, np.ndarray]) -> Column:
 
     @F.pandas_udf("array<double>")
     def udf(vs: pd.Series, dims: pd.Series) -> pd.Series:
-        return pd.Series([np.linalg.norm(pivots[d] - np.asarray(x, float), axis=1) for x, d in zip(vs, dims)], dtype=object)
+        own = (quantized(np.asarray(x, float)[None, :]).astype(float) for x in vs)
+        return pd.Series([np.linalg.norm(pivots[d] - x, axis=1) for x, d in zip(own, dims)], dtype=object)
 
     return udf(v, dim)
 
 
+def _products(x: np.ndarray, q: np.ndarray, most: float) -> np.ndarray:
+    """Exact inner products of rows with a query; ``most`` bounds their size."""
+    if most < 2.0**52:
+        return (x @ q).astype(np.int64)
+    return np.array([sum(int(a) * int(b) for a, b in zip(row, q)) for row in x], object)
+
+
 def _search(ids, x, far, q_ids, q, q_far, best: dict, k: int) -> None:
     """Updates ``best`` (query id: scores and ids, best first) with a block of rows."""
-    xf, norms = x.astype(float), np.square(x.astype(float)).sum(axis=1)
-    exact = np.abs(x).max(initial=0).astype(float) * np.abs(q).max(initial=0).astype(float) * x.shape[1] < 2.0**52
+    xf, qf = x.astype(float), q.astype(float)
+    norms = np.square(xf).sum(axis=1)
+    most = np.abs(xf).max(initial=0) * np.abs(qf).max(initial=0) * x.shape[1]
     for start in range(0, len(q), 64):
         some = slice(start, start + 64)
         bound = np.zeros((len(q[some]), len(x)))
         for p in range(len(far)):
             np.maximum(bound, np.abs(q_far[p][some, None] - far[p][None, :]), out=bound)
-        q_norm = np.square(q[some].astype(float)).sum(axis=1)
+        q_norm = np.square(qf[some]).sum(axis=1)
         upper = (q_norm[:, None] + norms[None, :] - np.square(bound)) / 2
         upper += 1e-9 * (q_norm[:, None] + norms[None, :]) + 1e-6  # rounding of the distances
+        upper[~np.isfinite(upper)] = np.inf  # beyond doubles nothing is ruled out
         for row, i in enumerate(range(start, start + len(bound))):
             own = int(q_ids[i])
             score, who = best.get(own, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
@@ -85,10 +104,13 @@ def _search(ids, x, far, q_ids, q, q_far, best: dict, k: int) -> None:
                 part = order[at : at + CHUNK]
                 if len(score) == k and upper[row][part[0]] < score[-1]:
                     break
-                got = (xf[part] @ q[i].astype(float)).astype(np.int64) if exact else (x[part] * q[i]).sum(axis=1)
+                got = _products(x[part], q[i], most)
                 other = ids[part] != own
                 score, who = np.r_[score, got[other]], np.r_[who, ids[part][other]]
-                top = np.lexsort((who, -score))[:k]
+                if score.dtype == object:
+                    top = np.array(sorted(range(len(score)), key=lambda j: (-score[j], who[j]))[:k], np.int64)
+                else:
+                    top = np.lexsort((who, -score))[:k]
                 score, who = score[top], who[top]
             best[own] = (score, who)
 
@@ -98,7 +120,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
 
     def prepared(df: DataFrame) -> DataFrame:
         df = df.filter(F.col(id_col).isNotNull() & valid(F.col(vec_col)))
-        v = quantized(F.col(vec_col))
+        v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
         return df.select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.size(v).alias("dim"))
 
     rows = stored(prepared(vectors), "topk-rows")
@@ -107,12 +129,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     pivots = {}
     for dim in dims:
         sample = rows.filter(F.col("dim") == dim).orderBy(F.xxhash64("v"), "id").limit(SAMPLE)
-        pivots[dim] = _pivots(np.array([r["v"] for r in sample.select("v").collect()], float).reshape(-1, dim), PIVOTS)
+        sample = np.array([r["v"] for r in sample.select("v").collect()], float).reshape(-1, dim)
+        pivots[dim] = _pivots(quantized(sample).astype(float), PIVOTS)
     far = distances(F.col("v"), F.col("dim"), pivots)
     asked = stored(asked.filter(F.col("dim").isin(dims)).withColumn("far", far), "topk-queries")
     rows = stored(rows.withColumn("far", far), "topk-pivot-table")
     # A unit of work is one block of queries against one block of rows, both by hash.
-    blocks = max(1, -(-rows.count() // BLOCK))
+    count = rows.count()
+    blocks = max(1, min(GRID, count // LEAST), -(-count // BLOCK))
     asked_blocks = max(1, -(-asked.count() // QUERIES))
     place = F.xxhash64("v", "id")
     left = rows.withColumn("b", F.pmod(place, F.lit(blocks))).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(asked_blocks - 1))))
@@ -124,10 +148,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
         if len(rows) and len(asked):
             parts = []
             for side in (rows, asked):
-                parts += [side["id"].to_numpy(), np.stack(side["v"].to_numpy()), np.stack(side["far"].to_numpy()).T]
+                v = quantized(np.stack(side["v"].to_numpy()).astype(float))
+                parts += [side["id"].to_numpy(), v, np.stack(side["far"].to_numpy()).T]
             _search(*parts, best, k)
         own = np.repeat(np.array(list(best), np.int64), [len(s) for s, _ in best.values()])
-        score = np.concatenate([s for s, _ in best.values()] or [np.zeros(0, np.int64)])
+        score = np.concatenate([s.astype(np.int64) for s, _ in best.values()] or [np.zeros(0, np.int64)])  # or OverflowError
         who = np.concatenate([w for _, w in best.values()] or [np.zeros(0, np.int64)])
         return pd.DataFrame({"query_id": own, "vec_id": who, "score": score})
 
