@@ -38,7 +38,7 @@ STEPS = 900
 BATCH = 64
 CHUNK = 16  # windows scored at a time: their answers stay in the processor's cache
 
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")  # letters, and signs of numbers such as a half or a Roman eight
 _CLASS = np.full(256, 1, np.int32)  # other marks
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
 _CLASS[ord("0") : ord("9") + 1] = 2
@@ -47,6 +47,11 @@ _CLASS[128:] = np.arange(29, 157)
 CLASSES = 157
 
 
+def has_letter(text: str) -> bool:
+    """Whether the text has a Unicode letter."""
+    return any(m[0].isalpha() for m in _WORDLIKE.finditer(text))
+
+
 def windows(text: str) -> np.ndarray:
     """Byte classes in rows of ``WINDOW``; the last row is filled up with blanks."""
     got = _CLASS[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)]
@@ -147,7 +152,7 @@ class Scorer:
         return _softmax(np.maximum(hidden + self.shift, 0) @ self.out + self.bias)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return "und", 0.0
         p = self.probabilities(windows(text)).mean(axis=0)
         return self.languages[int(p.argmax())], float(min(1.0, p.max()))
@@ -170,7 +175,7 @@ def training_windows(rows: DataFrame, sample: int = SAMPLE, per_text: int = WIND
         for pdf in batches:
             out = []
             for lang, text in zip(pdf["lang"], pdf["text"]):
-                if _LETTER.search(text):
+                if has_letter(text):
                     x = windows(text)
                     out += [(lang, row) for row in x[np.linspace(0, len(x) - 1, min(per_text, len(x))).astype(int)].astype(np.int16)]
             yield pd.DataFrame(out, columns=["lang", "x"])

@@ -38,7 +38,6 @@ from retalia.llm.components import components
 CHUNK = 1024  # fingerprints of a bucket that meet in one unit of work
 SMALL = 48  # groups up to this size are compared together
 SEED = 42
-NULL_ID = (1 << 63) - 1  # stands for a null id
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: odd multiplier that derives more hashes from one
 
 
@@ -162,14 +161,14 @@ def near_duplicates(
     """One row per document: ``id``, ``text_hash``, ``fp`` (64-bit words), ``first_id``, ``first_hash``.
 
     The last two name the first document (by id, then by hash of the text) of the component;
-    a null id takes part as the largest long.
+    null ids come behind all others.
     """
-    ident = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id")
+    ident = F.col(id_col).cast("long").alias("id")
     text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash")
     ids = docs.select(ident, text_hash, fingerprint_column(F.col(text_col), shingle, words64).alias("fp"))
     ids = stored(ids, "simhash-rows")
     node = F.element_at("fp", 1) if words64 == 1 else F.xxhash64("fp")
-    classes = ids.groupBy("fp").agg(F.min(F.struct("id", "text_hash")).alias("rep"))
+    classes = ids.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("rep"))
     classes = stored(classes.select(node.alias("node"), "fp", "rep"), "simhash-classes")
     roots = components(stored(links(classes, words64, radius), "simhash-links"))
     members = classes.select("node", "rep").join(roots, "node", "left")
@@ -181,27 +180,25 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, shingle: int = 5, words64: int = 8, radius: int = 82) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates.
+    """``docs`` with one document of each group of near-duplicates, the first by id.
 
-    512 bits measure the angle between shingle sets: 0.8 Jaccard similarity is an angle of
-    27 degrees, 78 bits; ``radius`` is one standard deviation (8) above half a bit of it.
-    Rows that agree in id and text are one document.
+    With 512 bits, which measure the angle between shingle sets, 0.8 Jaccard similarity is an
+    angle of 27 degrees, 78 bits; ``radius`` is one standard deviation (8) above half a bit of
+    it.  The pipeline takes the fingerprints of ``op1_simhash`` instead.  Rows that agree in id
+    and text are one document.
     """
     found = near_duplicates(docs.select("doc_id", "text"), shingle, words64, radius)
-    kept = found.filter("id = first_id AND text_hash = first_hash").select("id", "text_hash").distinct()
+    first = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    kept = found.filter(first).select(F.col("id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct()
     kept = stored(kept, "simhash-kept")
-    ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id")
+    ident = F.col("doc_id").cast("long").alias("id")
     text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash")
     rows = docs.select(F.struct("*").alias("row"), ident, text_hash)
-    return rows.join(kept, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"]).select("row.*")
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "text_hash"]).select("row.*")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digits = F.lpad(F.lower(F.hex(F.element_at("fp", 1))), 16, "0")
-    own, first = F.col("id"), F.col("first_id")
-    return found.select(
-        F.when(own < NULL_ID, own).alias("doc_id"),
-        digits.alias("fingerprint"),
-        F.when(first < NULL_ID, first).alias("component_id"),
-    )
+    return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("first_id").alias("component_id"))
