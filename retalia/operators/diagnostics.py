@@ -9,6 +9,7 @@ from retalia.functions.ids import limpiar_id
 from retalia.operators.migration import TIPOS_EVENTO
 from retalia.operators.quality import ids_por_cliente
 from retalia.operators.skew import join_repartido
+from retalia.sources.workspace import asentar
 
 # Event types that the merging analyses compare.
 TIPOS_NUEVO = ["Nuevo - Dual", "Nuevo - Unico"]
@@ -226,6 +227,7 @@ def ventas_por_id_crudo(
             sucursales.select("pdv_id", "sucursal_codigo"),
             "pdv_id",
             ["cliente_id", "fecha_venta"],
+            escribir=False,
         )
         .select(
             F.col("cliente_id").alias("cliente_id_crudo"),
@@ -248,8 +250,9 @@ def branches_per_raw_id(
     elegibles: DataFrame, sucursales: DataFrame, mapeo: DataFrame, eventos: DataFrame
 ) -> DataFrame:
     """Histogram of branches per raw id of the candidates."""
+    candidatos = asentar(candidatos_fusion(mapeo, eventos), "candidatos")  # a list and a side of a join
     return (
-        ventas_por_id_crudo(elegibles, sucursales, candidatos_fusion(mapeo, eventos))
+        ventas_por_id_crudo(elegibles, sucursales, candidatos)
         .groupBy("cliente_id_limpio", "cliente_id_crudo")
         .agg(F.count(F.lit(1)).alias("sucursales_distintas"))
         .groupBy("sucursales_distintas")
@@ -261,7 +264,7 @@ def branches_per_raw_id_sample(
     elegibles: DataFrame, sucursales: DataFrame, mapeo: DataFrame, eventos: DataFrame, n: int = 10
 ) -> DataFrame:
     """The first ``n`` candidates with their raw ids, in a total order."""
-    candidatos = candidatos_fusion(mapeo, eventos)
+    candidatos = asentar(candidatos_fusion(mapeo, eventos), "candidatos")
     return (
         candidatos.join(ventas_por_id_crudo(elegibles, sucursales, candidatos), "cliente_id_limpio")
         .select(

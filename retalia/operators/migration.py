@@ -51,6 +51,7 @@ def fct_ventas_36m_pivotado(
         sucursales.select("pdv_id", "sucursal_codigo"),
         "pdv_id",
         ["cliente_id_limpio", "anio", "mes"],
+        escribir=False,
     )
     montos = de_sucursal.groupBy("cliente_id_limpio", "anio", "mes").agg(
         *[

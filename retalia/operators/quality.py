@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +19,10 @@ class ContractError(ValueError):
     """A dataset does not have the columns or types it promises."""
 
 
+class CheckError(ValueError):
+    """A check whose failure stops the run has failed."""
+
+
 def check_schema(df: DataFrame, contrato: T.StructType) -> DataFrame:
     """Columns that are missing, unexpected or of another type."""
     hay = {f.name: f.dataType.simpleString().split(" collate ")[0] for f in df.schema}
@@ -145,25 +150,34 @@ REGLAS: dict[str, dict] = {
 SEVERIDAD = {"ids_por_cliente": "error", "ventas_desactualizada": "warn"}
 
 
+def _contadores(nombre: str) -> dict[str, Column]:
+    """Test name to the condition of a row that fails it."""
+    reglas = REGLAS[nombre]
+    return {
+        **{f"not_null:{c}": F.col(c).isNull() for c in reglas.get("no_nulas", [])},
+        **{
+            f"accepted_values:{c}": F.col(c).isNotNull() & ~F.col(c).isin(*vs)
+            for c, vs in reglas.get("valores", {}).items()
+        },
+    }
+
+
+def _columnas(nombre: str) -> list[str]:
+    reglas = REGLAS[nombre]
+    return list(dict.fromkeys([*reglas.get("no_nulas", []), *reglas.get("valores", {}), *reglas.get("unicas", [])]))
+
+
 def revisar(nombre: str, df: DataFrame) -> DataFrame:
     """Run the declared checks of a dataset: one row per check that fails.
 
     Only the checked columns are read.  NULL and value checks share one aggregate; a
     dataset is written for that only if a ``unique`` check reads it a second time.
     """
-    reglas = REGLAS[nombre]
-    unicas = reglas.get("unicas", [])
-    columnas = [*reglas.get("no_nulas", []), *reglas.get("valores", {}), *unicas]
-    df = df.select(*dict.fromkeys(columnas))
+    unicas = REGLAS[nombre].get("unicas", [])
+    df = df.select(*_columnas(nombre))
     if unicas:
         df = asentar(df, f"revision-{nombre}")
-    contadores = {
-        **{f"not_null:{c}": F.col(c).isNull() for c in reglas.get("no_nulas", [])},
-        **{
-            f"accepted_values:{c}": F.col(c).isNotNull() & ~F.col(c).isin(*vs)
-            for c, vs in reglas.get("valores", {}).items()
-        },
-    }
+    contadores = _contadores(nombre)
     fallas = df.agg(*[F.count_if(cond).alias(n) for n, cond in contadores.items()]).unpivot(
         [], list(contadores), "prueba", "fallas"
     )
@@ -174,6 +188,63 @@ def revisar(nombre: str, df: DataFrame) -> DataFrame:
     return _informe(fallas, nombre, "error")
 
 
+class Revision:
+    """Checks of a run that come from the writes of the run itself.
+
+    A dataset's NULL and value checks are counted by ``DataFrame.observe`` while it is
+    written: nothing is computed, and no dataset read, for the checks alone.
+    ``fallas`` collects (dataset, test, severity, failing rows) of what failed.
+    """
+
+    def __init__(self) -> None:
+        self.fallas: list[tuple[str, str, str, int]] = []
+
+    def escribir(self, nombre: str, df: DataFrame) -> DataFrame:
+        """Write a dataset that later ones are built on, checked on the way; the written table."""
+        observada, vista = self._observar(nombre, df)
+        escrita = asentar(observada, nombre)
+        self._anotar(nombre, vista, escrita)
+        return escrita
+
+    def mirar(self, nombre: str, df: DataFrame) -> None:
+        """Check a dataset that nothing is built on; its rows are computed once and not kept."""
+        df = df.select(*_columnas(nombre))
+        if REGLAS[nombre].get("unicas"):
+            self.escribir(nombre, df)
+            return
+        observada, vista = self._observar(nombre, df)
+        observada.write.format("noop").mode("overwrite").save()
+        self._anotar(nombre, vista, None)
+
+    def informar(self, filas: DataFrame) -> None:
+        """Add rows of a report of another check."""
+        self.fallas += [tuple(r) for r in filas.select("conjunto", "prueba", "severidad", "fallas").collect()]
+
+    def exigir(self) -> None:
+        """Stop on a failed check that is an error; only warn of the others."""
+        for conjunto, prueba, severidad, n in self.fallas:
+            if severidad != "error":
+                warnings.warn(f"{conjunto}: {prueba} fails in {n} rows", stacklevel=2)
+        errores = [f"{c}: {p} fails in {n} rows" for c, p, s, n in self.fallas if s == "error"]
+        if errores:
+            raise CheckError("; ".join(errores))
+
+    def _observar(self, nombre: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+        vista = Observation()
+        contadores = {f"p{i}": cond for i, cond in enumerate(_contadores(nombre).values())}
+        return df.observe(vista, *[F.count_if(cond).alias(n) for n, cond in contadores.items()]), vista
+
+    def _anotar(self, nombre: str, vista: Observation, escrita: DataFrame | None) -> None:
+        contadas = vista.get
+        for i, prueba in enumerate(_contadores(nombre)):
+            if contadas.get(f"p{i}"):
+                self.fallas.append((nombre, prueba, "error", contadas[f"p{i}"]))
+        for c in REGLAS[nombre].get("unicas", []):
+            repetidas = check_unique(escrita, c).count()
+            if repetidas:
+                self.fallas.append((nombre, f"unique:{c}", "error", repetidas))
+
+
 def _informe(fallas: DataFrame, conjunto: str, severidad: str) -> DataFrame:
     return fallas.where(F.col("fallas") > 0).select(
         F.lit(conjunto).alias("conjunto"), "prueba", F.lit(severidad).alias("severidad"), "fallas"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from retalia.functions import ids
 from retalia.functions.numbers import exacto
 from retalia.functions.text import contiene
-from retalia.operators.skew import join_repartido, medida
+from retalia.operators.skew import SALES_DE_CLAVE, join_repartido, medida
 from retalia.params import Params
 
 
@@ -66,6 +66,7 @@ def int_ventas_elegibles(
             mapeo.select("cliente_id", "cliente_id_limpio"),
             "cliente_id",
             ["producto_id", "fecha_venta", "factura_nro"],
+            escribir=False,
         ).where(F.coalesce("cliente_id_limpio", F.lit("")) != params.cliente_prueba)
     validos = productos_validos(productos, excluidos, params)
     return join_repartido(
@@ -94,27 +95,19 @@ def lineas_descartadas(
     Rules in order: no id, id wider than the mapping, id that a stored mapping does not
     hold, no clean id, test customer, product that does not count; ``elegible`` is the rest.
     """
+    con_producto = _marcadas(
+        ventas.select("cliente_id", "producto_id"),
+        productos_validos(productos, excluidos, params),
+        "producto_id",
+        "_valido",
+        "cliente_id",
+    )
     if mapeo is None:
         limpio = F.substring(ids.cliente_id_limpio_o_vacio(F.col("cliente_id")), 1, params.largo_mapeo)
-        marcadas = ventas.select("cliente_id", "producto_id", limpio.alias("_limpio"), F.lit(True).alias("_mapeado"))
+        marcadas = con_producto.withColumns({"_limpio": limpio, "_mapeado": F.lit(True)})
     else:
-        lista, cabe = medida(
-            mapeo.select(
-                F.col("cliente_id").alias("_id"),
-                F.coalesce("cliente_id_limpio", F.lit(" ")).alias("_limpio"),
-                F.lit(True).alias("_mapeado"),
-            ),
-            "mapeo-medido",
-        )
-        # Counts by id first: beyond the broadcast limit a hot id is one row, not a third of the lines.
-        ventas = ventas.groupBy("cliente_id", "producto_id").agg(F.count(F.lit(1)).alias("_lineas"))
-        marcadas = ventas.join(F.broadcast(lista) if cabe else lista, F.col("cliente_id") == F.col("_id"), "left")
-    if "_lineas" not in marcadas.columns:
-        marcadas = marcadas.groupBy("cliente_id", "producto_id", "_limpio", "_mapeado").agg(F.count(F.lit(1)).alias("_lineas"))
-    validos = productos_validos(productos, excluidos, params).select(
-        F.col("producto_id").alias("_producto"), F.lit(True).alias("_valido")
-    )
-    marcadas = marcadas.join(validos, F.col("producto_id") == F.col("_producto"), "left")
+        conocidos = mapeo.select("cliente_id", F.coalesce("cliente_id_limpio", F.lit(" ")).alias("_limpio"))
+        marcadas = _marcadas(con_producto, conocidos, "cliente_id", "_mapeado", "producto_id")
     regla = (
         F.when(F.col("cliente_id").isNull(), "sin_id")
         .when((F.length("cliente_id") > params.largo_mapeo) & F.lit(mapeo is None), "id_largo")
@@ -124,7 +117,23 @@ def lineas_descartadas(
         .when(F.col("_valido").isNull(), "producto_excluido")
         .otherwise("elegible")
     )
-    return marcadas.groupBy(regla.alias("regla")).agg(F.sum("_lineas").alias("lineas"))
+    return marcadas.groupBy(regla.alias("regla")).agg(F.count(F.lit(1)).alias("lineas"))
+
+
+def _marcadas(filas: DataFrame, lista: DataFrame, clave: str, marca: str, repartir_por: str) -> DataFrame:
+    """All rows, with the columns of the list and ``marca`` where it holds their key.
+
+    A list of few counted rows is broadcast and the rows stay where they are; a bigger one
+    is met on key and salt.
+    """
+    lista = lista.withColumnRenamed(clave, "_clave").withColumn(marca, F.lit(True))
+    lista, cabe = medida(lista, "lista-marcas")
+    if cabe:
+        return filas.join(F.broadcast(lista), F.col(clave) == F.col("_clave"), "left").drop("_clave")
+    lista = lista.withColumn("_sal_lista", F.explode(F.sequence(F.lit(0), F.lit(SALES_DE_CLAVE - 1))))
+    filas = filas.withColumn("_sal", F.pmod(F.hash(repartir_por), F.lit(SALES_DE_CLAVE)))
+    igual = (F.col(clave) == F.col("_clave")) & (F.col("_sal") == F.col("_sal_lista"))
+    return filas.join(lista, igual, "left").drop("_clave", "_sal", "_sal_lista")
 
 
 def en_ventana(ventas: DataFrame, inicio: dt.date, fin: dt.date) -> DataFrame:

@@ -21,23 +21,32 @@ SALES_DE_CLAVE = 16  # copies of a list of keys beyond it; AQE splits further by
 FILAS_DIFUNDIBLES = 200_000  # counted rows of a few short columns: some 10 MB
 
 
-def medida(df: DataFrame, nombre: str) -> tuple[DataFrame, bool]:
-    """``df`` written once, and whether its counted rows are few enough to broadcast."""
-    escrita = asentar(df, nombre)
+def medida(df: DataFrame, nombre: str, escribir: bool = True) -> tuple[DataFrame, bool]:
+    """``df`` written once, and whether its counted rows are few enough to broadcast.
+
+    A list that is written already, or made of literals, is only counted.
+    """
+    escrita = asentar(df, nombre) if escribir else df
     return escrita, escrita.count() <= FILAS_DIFUNDIBLES
 
 
 def join_repartido(
-    filas: DataFrame, lista: DataFrame, clave: str, repartir_por: list[str], como: str = "inner"
+    filas: DataFrame,
+    lista: DataFrame,
+    clave: str,
+    repartir_por: list[str],
+    como: str = "inner",
+    escribir: bool = True,
 ) -> DataFrame:
     """Join rows with a list of keys: ``inner`` or ``left_semi``.
 
     A list of few rows is broadcast (no shuffle of the rows).  A bigger one is repeated
     for every salt and met on key and salt: a hot key spreads over ``SALES_DE_CLAVE``
     partitions, each of which AQE may split, and a grouping by the key behind the join
-    cannot take over the join's partitioning.
+    cannot take over the join's partitioning.  Without ``escribir`` the list is one that is
+    cheap to read again: a stored table, or literals.
     """
-    lista, cabe = medida(lista, "lista-claves")
+    lista, cabe = medida(lista, "lista-claves", escribir)
     if cabe:
         return filas.join(F.broadcast(lista), clave, como)
     sales = F.explode(F.sequence(F.lit(0), F.lit(SALES_DE_CLAVE - 1)))

@@ -75,6 +75,7 @@ def int_mayoristas_metricas_cliente(
         sucursales.select("pdv_id", F.col("sucursal_codigo").alias("ambito")),
         "pdv_id",
         ["cliente_id_limpio", "ticket_id"],
+        escribir=False,
     )
     sumas = [F.sum("unidades").alias("unidades"), F.sum("venta_gs").alias("venta_gs"), *unir_mascaras(meses)]
     por_ticket = (

@@ -739,7 +739,52 @@ def _etiqueta_en_fecha() -> str:
     )
 
 
+_EXPORT = {
+    "export": """select case when n % 103 = 0 then null else cliente_id end as cliente_id,
+        case when n % 211 = 0 then null else producto_id end as producto_id,
+        case when n % 89 = 0 then strftime(fecha_venta, '%d/%m/%Y') else cast(fecha_venta as varchar) end as fecha_venta,
+        case when n % 97 = 0 then cast(cast(unidades as int) as varchar) || ',50' else cast(venta_gs as varchar) end as venta_gs,
+        case when n % 101 = 0 then 'n/a' when n % 107 = 0 then '' else cast(unidades as varchar) end as unidades
+      from (select *, cast(factura_nro as bigint) as n from sales)""",
+    "judged": """select *, cliente_id is null as b1, producto_id is null as b2, try_cast(fecha_venta as date) is null as b3,
+        try_cast(venta_gs as double) is null as b4, try_cast(unidades as double) is null as b5 from export""",
+}
+_GOOD = "not (b1 or b2 or b3 or b4 or b5)"
+
 ORACLE_SQL |= {
+    "rechazos": _con(
+        {"sales": _BASE["sales"], **_EXPORT},
+        " union all ".join(
+            f"select '{rule}' as regla, {col} as columna, count(*) as filas from judged where {bad} having count(*) > 0"
+            for rule, col, bad in [
+                ("aceptada", "null", _GOOD),
+                ("requerida", "'cliente_id'", "b1"),
+                ("requerida", "'producto_id'", "b2"),
+                ("tipo:date", "'fecha_venta'", "b3"),
+                ("tipo:double", "'venta_gs'", "b4"),
+                ("tipo:double", "'unidades'", "b5"),
+            ]
+        ),
+    ),
+    "ventas_aceptadas": _con(
+        {"sales": _BASE["sales"], **_EXPORT},
+        f"""select cast(year(d) * 100 + month(d) as int) as periodo, count(*) as lineas,
+          {_money('try_cast(unidades as double)')} as unidades
+        from (select *, try_cast(fecha_venta as date) as d from judged where {_GOOD}) group by 1""",
+    ),
+    "ventas_por_nivel": _hoy(
+        " union all ".join(
+            f"""select '{level}' as nivel, {pdv} as pdv_id, {prod} as producto_id, count(*) as lineas,
+              {_money('unidades')} as unidades, {_money('venta_gs')} as venta_gs
+            from (select * replace (nullif(pdv_id, '4') as pdv_id) from v12) {by}"""
+            for level, pdv, prod, by in [
+                ("pdv_producto", "pdv_id", "producto_id", "group by pdv_id, producto_id"),
+                ("pdv", "pdv_id", "null", "group by pdv_id"),
+                ("producto", "null", "producto_id", "group by producto_id"),
+                ("total", "null", "null", ""),
+            ]
+        )
+    ),
     "publicar_correcciones": ORACLE_SQL["ventas_36m"],
     "meses_corregidos": _meses_corregidos(),
     "publicar_mapeo_fusionado": _con(

@@ -16,10 +16,11 @@ from retalia.functions.numbers import exacto, log_desde_minimo, normalizar_desde
 from retalia.functions.periods import fecha_corte_mes_cerrado, meses_entre_periodos, periodo
 from retalia.operators import customers, diagnostics, historia, mensual, migration, products, publish, quality, sales
 from retalia.operators.skew import adjuntar_por_grupo
+from retalia.operators.totales import ventas_por_nivel
 from retalia.params import Params
 from retalia.plans.retail import Retail
 from retalia.plans.session import ajustar
-from retalia.sources import schemas, seeds, star
+from retalia.sources import lectura, schemas, seeds, star
 from retalia.sources.workspace import asentar, carpeta_compartida
 
 # Run dates and limits that suit the range of the order tables.
@@ -284,22 +285,38 @@ def check_accepted(spark: SparkSession, carpeta: str) -> DataFrame:
 
 
 def check_suite(spark: SparkSession, carpeta: str) -> DataFrame:
-    """All declared checks of all datasets and both singular checks, on one run.
+    """All declared checks of all datasets and both singular checks, from the writes of one run.
 
     With a limit of one raw id per customer and a run date two months after the last
     sale, both singular checks fail on the given tables.
     """
-    r = retail(spark, carpeta)
-    mapeo = asentar(r.int_clientes_mapeo_limpio, "mapeo-revision")
-    r = retail(spark, carpeta, mapeo=mapeo).fijar_elegibles()
-    revisiones = [quality.revisar(n, getattr(r, n)) for n in quality.REGLAS if n not in ("int_ventas_elegibles", "int_clientes_mapeo_limpio")]
-    # These two as of the sources: all eligible lines, and the mapping that was written.
-    todas = retail(spark, carpeta, mapeo=mapeo).int_ventas_elegibles
-    revisiones.append(quality.revisar("int_ventas_elegibles", todas))
-    revisiones.append(quality.revisar("int_clientes_mapeo_limpio", mapeo))
-    revisiones.append(quality.revisar_colisiones(mapeo, limite=1))
-    revisiones.append(quality.revisar_actualidad(r.ventas, VENCIDA))
-    return _unir(revisiones)
+    rev, r = quality.Revision(), retail(spark, carpeta)
+    mapeo = rev.escribir("int_clientes_mapeo_limpio", r.int_clientes_mapeo_limpio)
+    con_mapeo = retail(spark, carpeta, mapeo=mapeo)
+    elegibles = rev.escribir("int_ventas_elegibles", con_mapeo.int_ventas_elegibles)
+    for nombre in ("stg_ventas", "stg_clientes", "stg_productos", "stg_clientes_mapeo", "stg_clientes_limpio"):
+        rev.mirar(nombre, getattr(con_mapeo, nombre))
+    for nombre in ("int_clientes_normalizados", "int_clientes_limpio"):
+        rev.mirar(nombre, getattr(con_mapeo, nombre))
+    # What later datasets read is written once, and they are built on what was written.
+    fuentes = (r.ventas, r.clientes, r.productos, r.sucursales, r.productos_excluidos, r.params, mapeo)
+    ventas_36m = rev.escribir("fct_ventas_36m", Retail(*fuentes, elegibles=elegibles).fct_ventas_36m)
+    r = Retail(*fuentes, ventas_36m, elegibles)
+    r._pivotado_escrito = rev.escribir("fct_ventas_36m_pivotado", r.fct_ventas_36m_pivotado)
+    for nombre in (
+        "int_canibalizacion_migracion_base",
+        "fct_canibalizacion_evolutivo_cliente",
+        "dim_cliente_migracion_eventos",
+        "int_mayoristas_metricas_cliente",
+    ):
+        setattr(r, nombre, rev.escribir(nombre, getattr(r, nombre)))
+    for nombre in ("int_ventas_12m", "dim_cliente_tipo_migracion", "fct_canibalizacion_migracion_resumen"):
+        rev.mirar(nombre, getattr(r, nombre))
+    for nombre in ("int_top300_kpis", "top300_ranking", "dim_clientes_mayoristas"):
+        rev.mirar(nombre, getattr(r, nombre))
+    rev.informar(quality.revisar_colisiones(mapeo, limite=1))
+    rev.informar(quality.revisar_actualidad(r.ventas, VENCIDA))
+    return spark.createDataFrame(rev.fallas, "conjunto string, prueba string, severidad string, fallas long")
 
 
 def lineas_descartadas(spark: SparkSession, carpeta: str) -> DataFrame:
@@ -307,6 +324,28 @@ def lineas_descartadas(spark: SparkSession, carpeta: str) -> DataFrame:
     return sales.lineas_descartadas(r.stg_ventas, r.stg_productos, r.productos_excluidos, r.params)
 
 
+REQUERIDAS = ["cliente_id", "producto_id", "fecha_venta"]
+
+
+def rechazos(spark: SparkSession, carpeta: str) -> DataFrame:
+    """A text export of the sales: rows by the rule and column that reject them."""
+    return lectura.resumen_de_rechazos(star.ventas_texto(spark, carpeta), schemas.VENTAS, REQUERIDAS)
+
+
+def ventas_aceptadas(spark: SparkSession, carpeta: str) -> DataFrame:
+    """The rows of that export that are accepted, by month."""
+    aceptadas, _ = lectura.separar(star.ventas_texto(spark, carpeta), schemas.VENTAS, REQUERIDAS)
+    return aceptadas.groupBy(periodo(F.year("fecha_venta"), F.month("fecha_venta")).alias("periodo")).agg(
+        F.count(F.lit(1)).alias("lineas"), F.sum(exacto("unidades")).cast("double").alias("unidades")
+    )
+
+
+def por_nivel(spark: SparkSession, carpeta: str) -> DataFrame:
+    """Sums over the last twelve months; one point of sale is unknown to the earlier system."""
+    ventas = retail(spark, carpeta).int_ventas_12m
+    return ventas_por_nivel(ventas.withColumn("pdv_id", F.nullif("pdv_id", F.lit("4"))))
+
+
 # -- tables written and read back ----------------------------------------------------
 
 
@@ -428,6 +467,12 @@ def orphan_ids(spark: SparkSession, carpeta: str) -> DataFrame:
     return customers.ids_huerfanos(r.stg_ventas, r.int_clientes_normalizados)
 
 
+def _mapeo_y_eventos(spark: SparkSession, carpeta: str) -> tuple[Retail, DataFrame, DataFrame]:
+    """A run with its mapping and events, each written once: the analyses read them several times."""
+    r = retail(spark, carpeta)
+    return r, asentar(r.int_clientes_mapeo_limpio, "mapeo"), asentar(r.dim_cliente_migracion_eventos, "eventos")
+
+
 def orphan_share(spark: SparkSession, carpeta: str) -> DataFrame:
     r = retail(spark, carpeta)
     return diagnostics.orphan_share_by_type(
@@ -446,20 +491,13 @@ def _ventana_eventos(r: Retail) -> DataFrame:
 
 
 def branches_per_raw_id(spark: SparkSession, carpeta: str) -> DataFrame:
-    r = retail(spark, carpeta)
-    return diagnostics.branches_per_raw_id(
-        _ventana_eventos(r), r.sucursales, r.int_clientes_mapeo_limpio, r.dim_cliente_migracion_eventos
-    )
+    r, mapeo, eventos = _mapeo_y_eventos(spark, carpeta)
+    return diagnostics.branches_per_raw_id(_ventana_eventos(r), r.sucursales, mapeo, eventos)
 
 
 def branches_per_raw_id_sample(spark: SparkSession, carpeta: str) -> DataFrame:
-    r = retail(spark, carpeta)
-    return diagnostics.branches_per_raw_id_sample(
-        _ventana_eventos(r),
-        r.sucursales,
-        r.int_clientes_mapeo_limpio,
-        asentar(r.dim_cliente_migracion_eventos, "eventos"),
-    )
+    r, mapeo, eventos = _mapeo_y_eventos(spark, carpeta)
+    return diagnostics.branches_per_raw_id_sample(_ventana_eventos(r), r.sucursales, mapeo, eventos)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -511,6 +549,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tipo_migracion_incremental": tipo_migracion_incremental,
     "top300_meses": top300_meses,
     "lineas_descartadas": lineas_descartadas,
+    "rechazos": rechazos,
+    "ventas_aceptadas": ventas_aceptadas,
+    "ventas_por_nivel": por_nivel,
     "check_schema": check_schema,
     "check_not_null": check_not_null,
     "check_unique": check_unique,

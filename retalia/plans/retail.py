@@ -154,7 +154,9 @@ class Retail:
 
     @cached_property
     def dim_cliente_tipo_migracion(self) -> DataFrame:
-        return migration.dim_cliente_tipo_migracion(self._pivotado_escrito)
+        # The states read the pivot once: it is only written for them where the events read it too.
+        varios = self.elegibles is not None or "_pivotado_escrito" in self.__dict__
+        return migration.dim_cliente_tipo_migracion(self._pivotado_escrito if varios else self.fct_ventas_36m_pivotado)
 
     @cached_property
     def int_canibalizacion_migracion_base(self) -> DataFrame:

@@ -62,6 +62,21 @@ def ventas(spark: SparkSession, carpeta: str) -> DataFrame:
     )
 
 
+def ventas_texto(spark: SparkSession, carpeta: str) -> DataFrame:
+    """The sales as a text export delivers them: some dates, amounts and units in no known form, some ids missing."""
+    n = "cast(factura_nro AS bigint)"
+    return ventas(spark, carpeta).selectExpr(
+        f"IF({n} % 103 = 0, NULL, cliente_id) AS cliente_id",
+        f"IF({n} % 211 = 0, NULL, producto_id) AS producto_id",
+        "pdv_id",
+        f"IF({n} % 89 = 0, date_format(fecha_venta, 'dd/MM/yyyy'), cast(fecha_venta AS string)) AS fecha_venta",
+        f"IF({n} % 97 = 0, concat(cast(cast(unidades AS int) AS string), ',50'), cast(venta_gs AS string)) AS venta_gs",
+        f"CASE WHEN {n} % 101 = 0 THEN 'n/a' WHEN {n} % 107 = 0 THEN '' ELSE cast(unidades AS string) END AS unidades",
+        "timbrado",
+        "factura_nro",
+    )
+
+
 def clientes(spark: SparkSession, carpeta: str) -> DataFrame:
     """Customers; one in eleven is registered under another id than it buys with."""
     return spark.read.schema(_CUSTOMER).parquet(f"{carpeta}/customer.parquet").selectExpr(

@@ -91,3 +91,36 @@ def test_lookback_and_windows():
     assert p.corte == dt.date(2024, 3, 1)
     assert p.inicio_ventana(12) == dt.date(2023, 3, 1) and p.inicio_ventana(36) == dt.date(2021, 3, 1)
     assert p.inicio_lookback == dt.date(2024, 2, 15) and p.inicio_lookback_mes == dt.date(2024, 2, 1)
+
+
+def test_checks_come_from_the_write(spark):
+    tipos = spark.createDataFrame(
+        [("a", "Cliente SL"), ("a", None), (None, "Otra cosa")], "cliente_id_limpio string, tipo_cliente string"
+    )
+    esperadas = {tuple(r) for r in quality.revisar("dim_cliente_tipo_migracion", tipos).collect()}
+    for modo in ("escribir", "mirar"):
+        rev = quality.Revision()
+        escrita = getattr(rev, modo)("dim_cliente_tipo_migracion", tipos.repartition(2))
+        assert set(rev.fallas) == esperadas
+        if modo == "escribir":
+            assert escrita.count() == 3 and escrita.inputFiles()
+    rev = quality.Revision()
+    rev.mirar("int_clientes_limpio", spark.createDataFrame([("1",), ("1",), (None,)], "cliente_id_limpio string"))
+    rev.mirar("dim_cliente_tipo_migracion", tipos.limit(0))
+    rev.escribir("dim_cliente_tipo_migracion", tipos.where("false"))
+    assert set(rev.fallas) == {
+        ("int_clientes_limpio", "not_null:cliente_id_limpio", "error", 1),
+        ("int_clientes_limpio", "unique:cliente_id_limpio", "error", 1),
+    }
+
+
+def test_errors_stop_a_run_and_warnings_do_not(spark):
+    rev = quality.Revision()
+    rev.exigir()
+    ventas = spark.createDataFrame([(dt.date(2024, 5, 30),)], "fecha_venta date")
+    rev.informar(quality.revisar_actualidad(ventas, dt.date(2024, 6, 15)))
+    with pytest.warns(UserWarning, match="ventas_desactualizada"):
+        rev.exigir()
+    rev.mirar("stg_ventas", spark.createDataFrame([(None, "p")], "cliente_id string, producto_id string"))
+    with pytest.warns(UserWarning), pytest.raises(quality.CheckError, match="stg_ventas: not_null:cliente_id fails in 1 rows"):
+        rev.exigir()
