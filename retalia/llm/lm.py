@@ -1,17 +1,28 @@
 """Language-model scoring by cross-entropy difference.
 
-Two class bigram models of words, one of a target (good documents) and one of the background
-(all documents), share one vocabulary: the words counted often enough over the whole corpus to
-be among the first ``VOCABULARY``.  The most frequent words are classes of their own, all other
-words share classes by their last two bytes, and words outside the vocabulary count as one
-unknown word of their class.  A token costs ``-log P(class | class before) - log P(word | class)``
-in each model, and a document's score is the mean difference of these losses over its tokens:
-background less target, so that a higher score is nearer to the target.
-
-All counts are over all documents, taken by Spark.  Tables of the models have a fixed size
-(classes squared, and vocabulary), so they can be broadcast whatever the corpus.  No document is
-scored with counts of its own: its own are taken off the background, and the target is counted
-in two halves by id, each scoring the documents of the other.
+Two bigram models of words, one of a target (good documents) and one of the background (all
+documents), share one vocabulary: all words of the corpus.  In either model a token costs
+
+    -log P(w | v),  P(w | v) = (n(v w) + BACKOFF P(w)) / (n(v) + BACKOFF),
+                    P(w) = (n(w) + SMOOTH) / (n + SMOOTH (words of the vocabulary + 1)),
+
+where v is the word before, or the start of the text, and what P(. | v) leaves over is the end
+of a text.  A document's score is the mean difference of these losses over its tokens:
+background less target, so that a higher score is nearer to the target.  No document is scored
+with counts of its own: its own are taken off the background, and the target is counted in two
+halves by id, each scoring the documents of the other.
+
+Nothing of the counts is held in one place, and none is left out, however large the vocabulary:
+
+1. Documents are dealt by hash into parts of about ``PART_CHARS``.  A part counts its words and
+   pairs of words and writes them as sorted filters (``quotient``), one for each shard of keys.
+2. A shard adds up the filters of all parts and answers each of them: the counts of its keys
+   over the corpus, in its own order, so neither keys nor documents are sent back.  A key that
+   occurs once is known without an answer.
+3. A part counts its keys once more, which puts the answers in place, and scores its documents.
+
+Words and pairs are known by ``KEY_BITS`` of a 64-bit hash; two of n agree with a probability of
+about n^2 / 2^(KEY_BITS + 1), and then share their counts.
 
 Edge cases: a text without words (null, empty, blanks) has 0 tokens and score 0; target ids that
 are null or have no document count nothing; rows that repeat are counted and scored each; without
@@ -20,8 +31,6 @@ target documents all scores are 0; an empty table gives no rows; other columns p
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,172 +38,214 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalia.llm.common import stored, table, words
+from retalia.llm import quotient
+from retalia.llm.common import stored, table
+from retalia.llm.quotient import Code
+from retalia.llm.words import coded, mixed
 
-VOCABULARY = 65_536
-OWN_CLASSES = 1024  # most frequent words, each a class
-END_CLASSES = 1024  # classes of all other words
-CLASSES = OWN_CLASSES + END_CLASSES + 1
-START = CLASSES - 1  # class before the first word
-BACKOFF = 20.0  # weight of the class frequencies against what is counted after a class
+BACKOFF = 20.0  # weight of the word frequencies against what is counted after a word
 SMOOTH = 0.1
-SLICES = 16  # parts in which the driver takes in counts
-FLUSH = 500_000  # words that a task counts before it passes them on
-
-
-def _end_class(word: bytes) -> int:
-    return OWN_CLASSES + zlib.crc32(word[-2:]) % END_CLASSES
-
-
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[bytes]:
-    """At most ``size`` words, the most frequent first; counts within a factor of 2**(1/8) count as tied."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        for pdf in batches:
-            for text in pdf["text"]:
-                seen.update(words(text))
-                if len(seen) > FLUSH:
-                    yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-                    seen = Counter()
-        yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-
-    counted = docs.select("text").mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counted = stored(counted.withColumn("level", F.floor(8 * F.log2("n")).cast("int")), "lm-words")
-    levels = sorted(counted.groupBy("level").count().collect(), key=lambda r: -r["level"])
-    least, room = None, size
-    for r in levels:
-        if r["count"] > room:
-            break
-        least, room = r["level"], room - r["count"]
-    if least is None:
-        return []
-    rows = counted.filter(F.col("level") >= least).select("word", "n").collect()
-    return [bytes(r["word"]) for r in sorted(rows, key=lambda r: (-r["n"], bytes(r["word"])))]
-
-
-class Coder:
-    """Words to ids: place in the vocabulary, or vocabulary size + class for an unknown word."""
-
-    def __init__(self, vocab: list[bytes]):
-        self.size = len(vocab)
-        self.ids = {w: i for i, w in enumerate(vocab)}
-        known = [i if i < OWN_CLASSES else _end_class(w) for i, w in enumerate(vocab)]
-        self.classes = np.array(known + list(range(CLASSES)), np.int64)
-        self.n = len(self.classes)
-        #: Words in each class, the unknown one included.
-        self.members = np.bincount(self.classes, minlength=CLASSES)
-
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Word ids, and a code for each pair of classes."""
-        get, size = self.ids.get, self.size
-        ids = np.array([i if (i := get(w)) is not None else size + _end_class(w) for w in words(text)], np.int64)
-        c = self.classes[ids]
-        return ids, np.r_[START, c[:-1]] * CLASSES + c if len(c) else c
-
-
-def _counts(rows: DataFrame, coder, half: bool) -> DataFrame:
-    """code, n: word counts (code from 0), pair counts (from coder.n), and both again for the second half.
-
-    ``half``: split by id, for cross-fitting.
+KEY_BITS = 48
+PART_CHARS = 8 << 20
+SHARD_ENTRIES = 2_000_000
+FEW = 500_000  # counted target ids: small enough to broadcast
+
+_START = np.uint64(0x5851F42D4C957F2D)  # stands for the word before the first; any odd number will do
+_PAIR = np.uint64(0xD1342543DE82EF95)  # odd multiplier of the first word of a pair
+_CODE = Code(1, KEY_BITS)
+_COUNTS = "unary binary, rests binary, counts binary, t0 binary, t1 binary"
+
+
+class Keys:
+    """Words and pairs of some texts: their different keys in order, and which ones the tokens have."""
+
+    def __init__(self, texts: list[str | None]):
+        codes, self.sizes = coded(texts)
+        self.doc = np.repeat(np.arange(len(texts)), self.sizes)
+        self.first = np.r_[True, self.doc[1:] != self.doc[:-1]][: len(codes)]
+        before = np.r_[_START, codes[:-1]][: len(codes)]
+        before[self.first] = _START
+        # The last bit of a key tells words from pairs.
+        word = codes >> np.uint64(64 - KEY_BITS) | np.uint64(1)
+        pair = mixed(before * _PAIR + codes) >> np.uint64(64 - KEY_BITS) & ~np.uint64(1)
+        self.keys, at = np.unique(np.r_[word, pair], return_inverse=True)
+        self.word, self.pair = at[: len(codes)], at[len(codes) :]
+
+    def sums(self, docs: np.ndarray) -> np.ndarray:
+        """Occurrences of each key in the documents that ``docs`` marks."""
+        own = docs[self.doc]
+        return np.bincount(np.r_[self.word[own], self.pair[own]], minlength=len(self.keys))
+
+    def own(self, at: np.ndarray) -> np.ndarray:
+        """How often each token's key occurs in its own document."""
+        _, back, count = np.unique(self.doc * len(self.keys) + at, return_inverse=True, return_counts=True)
+        return count[back]
+
+
+def _sparse(values: np.ndarray) -> bytes:
+    """Which values are above 0, and these."""
+    some = values > 0
+    return np.packbits(some).tobytes() + quotient.varints(values[some])
+
+
+def _dense(raw: bytes, n: int) -> np.ndarray:
+    size = -(-n // 8)
+    some = np.unpackbits(np.frombuffer(raw, np.uint8, size), count=n).astype(bool)
+    out = np.zeros(n, np.int64)
+    out[some] = quotient.from_varints(raw[size:])
+    return out
+
+
+def _whole_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each part of a partition that is sorted by part."""
+    rest = None
+    for pdf in batches:
+        pdf = pd.concat([rest, pdf], ignore_index=True) if rest is not None else pdf
+        if not len(pdf):
+            continue
+        cuts = np.r_[0, np.flatnonzero(np.diff(pdf["part"].to_numpy())) + 1]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield pdf.iloc[a:b]
+        rest = pdf.iloc[cuts[-1] :]
+    if rest is not None and len(rest):
+        yield rest
+
+
+def _filters(batches: Iterator[pd.DataFrame], skip: int) -> Iterator[pd.DataFrame]:
+    for pdf in _whole_parts(batches):
+        k = Keys(pdf["text"].tolist())
+        if not len(k.keys):
+            continue
+        half, good = pdf["half"].to_numpy(), pdf["good"].to_numpy(bool)
+        counts = [k.sums(np.ones(len(pdf), bool)), *(k.sums(good & (half == h)) for h in (0, 1))]
+        shard = k.keys >> np.uint64(KEY_BITS - skip) if skip else np.zeros(len(k.keys), np.uint64)
+        cuts = np.r_[0, np.flatnonzero(shard[1:] != shard[:-1]) + 1, len(shard)]
+        out = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            filter_ = quotient.write(_CODE, [k.keys[a:b]], counts[0][a:b], skip)
+            out.append((pdf["part"].iloc[0], int(shard[a]), *filter_, *(_sparse(c[a:b]) for c in counts[1:])))
+        yield pd.DataFrame(out, columns=["part", "shard", "quotient_bits", "unary", "rests", "counts", "t0", "t1"])
+
+
+def _answers(batches: Iterator[pd.DataFrame], skip: int) -> Iterator[pd.DataFrame]:
+    """Filters sorted by shard to an answer for each, and a row (part -1) of the shard's totals."""
+    names = ["part", "shard", "n", "b", "t0", "t1"]
+
+    def answer(shard: int, rows: list) -> pd.DataFrame:
+        keys, own = [], [[], [], []]
+        for _, bits, unary, rests, counts, t0, t1 in rows:
+            (limb,), b = quotient.read(_CODE, shard, skip, bits, unary, rests, counts)
+            keys.append(limb)
+            for to, x in zip(own, (b, _dense(t0, len(b)), _dense(t1, len(b)))):
+                to.append(x)
+        all_keys = np.concatenate(keys)
+        order = np.argsort(all_keys, kind="stable")
+        in_order = all_keys[order]
+        first = np.flatnonzero(np.r_[True, in_order[1:] != in_order[:-1]])
+        group = np.zeros(len(order), np.int64)
+        group[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
+        b, t0, t1 = (np.add.reduceat(np.concatenate(x)[order], first) for x in own)
+        word = in_order[first] & np.uint64(1) == 1
+        out = [(-1, shard, int(word.sum()), *(quotient.varints(x[word].sum(keepdims=True)) for x in (b, t0, t1)))]
+        at = 0
+        for (part, *_), limb in zip(rows, keys):
+            g = group[at : at + len(limb)]
+            at += len(limb)
+            more = b[g] > 1
+            out.append((part, shard, len(g), _sparse(np.where(more, b[g], 0)), *(_sparse(np.where(more, x[g], 0)) for x in (t0, t1))))
+        return pd.DataFrame(out, columns=names)
+
+    now, rows = None, []
+    for pdf in batches:
+        for part, shard, *rest in pdf.itertuples(index=False):
+            if rows and shard != now:
+                yield answer(now, rows)
+                rows = []
+            now = shard
+            rows.append((part, *rest))
+    if rows:
+        yield answer(now, rows)
+
+
+class Totals:
+    """Tokens of the background and of both halves of the target, their documents, and the vocabulary."""
+
+    def __init__(self, tokens: list[int], docs: list[int], words: int):
+        self.tokens, self.docs, self.words = tokens, docs, words
+
+
+def losses(k: Keys, half: np.ndarray, counts: list[np.ndarray], totals: Totals) -> tuple[np.ndarray, np.ndarray]:
+    """Loss of each token in the target and the background; ``counts``: of each key in background, half 0, half 1."""
+    other = 1 - half[k.doc]  # the half of the target that scores the document
+
+    def loss(n_pair, n_before, n_word, n, n_docs) -> np.ndarray:
+        n_before = np.where(k.first, n_docs, np.r_[0, n_before[:-1]])
+        p_word = (n_word + SMOOTH) / (n + SMOOTH * (totals.words + 1))
+        return -np.log((n_pair + BACKOFF * p_word) / (n_before + BACKOFF))
+
+    own = k.own(k.word)
+    background = loss(
+        counts[0][k.pair] - k.own(k.pair),
+        counts[0][k.word] - own,
+        counts[0][k.word] - own,
+        totals.tokens[0] - k.sizes[k.doc],
+        totals.docs[0] - 1,
+    )
+    of_half = [np.where(other == 0, counts[1][at], counts[2][at]) for at in (k.pair, k.word)]
+    n, n_docs = (np.where(other == 0, x[1], x[2]) for x in (totals.tokens, totals.docs))
+    return loss(of_half[0], of_half[1], of_half[1], n, n_docs), background
+
+
+def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, loss_target and loss_background (means in nats), score (their difference).
+
+    ``docs``: doc_id, text; ``target_ids``: doc_id.
     """
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = coder.value
-        width = c.n + CLASSES * CLASSES
-        sums = np.zeros(width * (1 + half), np.int64)
-        for pdf in batches:
-            for h, text in zip(pdf["half"], pdf["text"]):
-                ids, pairs = c.encode(text)
-                np.add.at(sums, h * width + ids, 1)
-                np.add.at(sums, h * width + c.n + pairs, 1)
-        at = np.flatnonzero(sums)
-        yield pd.DataFrame({"code": at, "n": sums[at]})
-
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int") if half else F.lit(0)
-    got = rows.select(part.alias("half"), "text").mapInPandas(count, "code long, n long")
-    return got.groupBy("code").agg(F.sum("n").alias("n"))
-
-
-class Models:
-    """Background (row 0) and the two halves of the target (rows 1 and 2)."""
-
-    def __init__(self, coder: Coder):
-        self.coder = coder
-        self.word = np.zeros((3, coder.n), np.int64)
-        self.pair = np.zeros((3, CLASSES * CLASSES), np.int64)
-
-    def add(self, row: int, counted: DataFrame) -> None:
-        """Fills the tables from row ``row`` on; ``counted`` has no more rows than they have cells."""
-        counted = stored(counted, "lm-counts")
-        for k in range(SLICES):
-            got = counted.filter(F.col("code") % SLICES == k).toPandas()
-            half, code = np.divmod(got["code"].to_numpy(), self.coder.n + CLASSES * CLASSES)
-            pair = code >= self.coder.n
-            n = got["n"].to_numpy()
-            self.word[row + half[~pair], code[~pair]] = n[~pair]
-            self.pair[row + half[pair], code[pair] - self.coder.n] = n[pair]
-
-    def finish(self) -> None:
-        classes = self.coder.classes
-        self.by_class = np.stack([np.bincount(classes, w, CLASSES) for w in self.word])
-        self.before = self.pair.reshape(3, CLASSES, CLASSES).sum(axis=2, dtype=np.int64)
-        self.total = self.word.sum(axis=1)
-
-    def losses(self, row: int, ids: np.ndarray, pairs: np.ndarray, own: bool) -> np.ndarray:
-        """Loss of each token; with ``own`` the document's own counts are taken off first."""
-        before, c = np.divmod(pairs, CLASSES)
-        n_pair, n_before = self.pair[row, pairs].astype(float), self.before[row, before].astype(float)
-        n_class, n_word, total = self.by_class[row, c], self.word[row, ids].astype(float), float(self.total[row])
-        if own:
-            for n, keys in ((n_pair, pairs), (n_before, before), (n_word, ids)):
-                _, back, count = np.unique(keys, return_inverse=True, return_counts=True)
-                n -= count[back]
-            _, back, count = np.unique(c, return_inverse=True, return_counts=True)
-            n_class = n_class - count[back]
-            total -= len(ids)
-        base = (n_class + 1.0) / (total + CLASSES)
-        p_class = (np.maximum(n_pair, 0) + BACKOFF * base) / (np.maximum(n_before, 0) + BACKOFF)
-        p_word = (np.maximum(n_word, 0) + SMOOTH) / (np.maximum(n_class, 0) + SMOOTH * self.coder.members[c])
-        return -np.log(p_class) - np.log(p_word)
-
-
-def fit(docs: DataFrame, target_ids: DataFrame, size: int = VOCABULARY) -> Models:
-    """``docs``: doc_id, text; ``target_ids``: doc_id."""
-    coder = Coder(vocabulary(docs, size))
-    shared = docs.sparkSession.sparkContext.broadcast(coder)
-    models = Models(coder)
-    models.add(0, _counts(docs, shared, half=False))
-    # A merge join at every size: the target grows with the corpus, and so must its way of being met.
-    wanted = target_ids.filter("doc_id IS NOT NULL").distinct().hint("merge")
-    target = docs.join(wanted, "doc_id", "left_semi")
-    models.add(1, _counts(target, shared, half=True))
-    models.finish()
-    return models
-
-
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """doc_id, n_tokens, loss_target and loss_background (means in nats), score (their difference)."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    @F.pandas_udf("n_tokens long, loss_target double, loss_background double")
-    def udf(half: pd.Series, texts: pd.Series) -> pd.DataFrame:
-        m, out = shared.value, []
-        for h, text in zip(half, texts):
-            ids, pairs = m.coder.encode(text)
-            if not len(ids) or not m.total[2 - h]:
-                out.append((len(ids), 0.0, 0.0))
-            else:  # the other half of the target
-                out.append((len(ids), m.losses(2 - h, ids, pairs, False).mean(), m.losses(0, ids, pairs, True).mean()))
-        return pd.DataFrame(out, columns=["n_tokens", "loss_target", "loss_background"])
-
-    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
-    found = docs.select("doc_id", udf(half, F.col("text")).alias("f")).select("doc_id", "f.*")
-    return found.withColumn("score", F.col("loss_background") - F.col("loss_target"))
+    spark = docs.sparkSession
+    good = target_ids.filter("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("good", F.lit(True))
+    good = stored(good, "lm-target")
+    few = good.count() <= FEW
+    flagged = docs.select("doc_id", "text").join(F.broadcast(good) if few else good, "doc_id", "left")
+    half, text_chars = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int"), F.sum(F.length("text"))
+    flagged = flagged.select("doc_id", "text", half.alias("half"), F.coalesce("good", F.lit(False)).alias("good"))
+    of_half = [F.count_if(F.col("good") & (F.col("half") == h)) for h in (0, 1)]
+    *n_docs, chars = flagged.agg(F.count("*"), *of_half, text_chars).first()
+    chars = chars or 0
+    skip = min(16, (chars // 5 // SHARD_ENTRIES).bit_length())
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-chars // PART_CHARS))))
+    # As a string: pandas would turn longs beside a null into doubles.
+    rows = flagged.withColumns({"part": part, "doc_id": F.col("doc_id").cast("string")})
+    found = rows.select("part", "text", "half", "good").repartition("part").sortWithinPartitions("part")
+    found = found.mapInPandas(lambda it: _filters(it, skip), f"part long, shard int, quotient_bits int, {_COUNTS}")
+    found = found.repartition("shard").sortWithinPartitions("shard")
+    answers = found.mapInPandas(lambda it: _answers(it, skip), "part long, shard int, n int, b binary, t0 binary, t1 binary")
+    answers = stored(answers, "lm-answers")
+    tokens, words = [0, 0, 0], 0
+    for n, *sums in answers.filter("part = -1").select("n", "b", "t0", "t1").collect():  # a row for each shard
+        words += n
+        tokens = [t + int(quotient.from_varints(bytes(x))[0]) for t, x in zip(tokens, sums)]
+    totals = Totals(tokens, n_docs, words)
+
+    def work(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        k, half = Keys(texts["text"].tolist()), texts["half"].to_numpy()
+        counts = [np.concatenate([np.zeros(0, np.int64)] + [_dense(x, n) for x, n in zip(answers[c], answers["n"])]) for c in ("b", "t0", "t1")]
+        counts[0] = np.maximum(counts[0], 1)  # without an answer: one occurrence
+        target, background = losses(k, half, counts, totals)
+        means = [np.bincount(k.doc, x, len(texts)) / np.maximum(k.sizes, 1) for x in (target, background)]
+        scored = (k.sizes > 0) & np.array([tokens[2 - h] > 0 for h in half])  # a target to compare with
+        target, background = (np.where(scored, x, 0.0) for x in means)
+        return pd.DataFrame({"doc_id": texts["doc_id"], "n_tokens": k.sizes, "loss_target": target, "loss_background": background})
+
+    both = rows.drop("good").groupBy("part").cogroup(answers.filter("part >= 0").groupBy("part"))
+    out = both.applyInPandas(
+        lambda a, b: work(a, b.sort_values("shard")), "doc_id string, n_tokens long, loss_target double, loss_background double"
+    )
+    out = out.withColumn("doc_id", F.col("doc_id").cast("long"))
+    return out.withColumn("score", F.col("loss_background") - F.col("loss_target"))
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents labelled good and not toxic."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0").select("doc_id")
-    return score(docs, fit(docs, good))
+    return score(docs, good)

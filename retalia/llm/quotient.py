@@ -111,16 +111,11 @@ def _numbers(raw: np.ndarray) -> np.ndarray:
     return out.view("<u8").ravel().astype(U)
 
 
-def write(code: Code, limbs: list[np.ndarray], counts: np.ndarray, skip: int) -> tuple[int, bytes, bytes, bytes]:
-    """Filter of entries in order whose ``skip`` leading bits agree: quotient bits, unary, rests, counts."""
-    quotient_bits = min(code.width - skip, (len(counts) - 1).bit_length())
-    rest_bits = code.width - skip - quotient_bits
-    rest = limbs[0] & U((1 << rest_bits) - 1)
-    quotient = (limbs[0] >> U(rest_bits) if rest_bits < 64 else np.zeros_like(rest)) & U((1 << quotient_bits) - 1)
-    unary = np.zeros((1 << quotient_bits) + len(counts), np.uint8)
-    unary[quotient.astype(np.int64) + np.arange(len(counts))] = 1
-    rests = np.hstack([_low_bytes(rest, rest_bits), *[_low_bytes(x, code.width) for x in limbs[1:]]])
-    left = counts.astype(U)
+def varints(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, seven bits to a byte."""
+    left = values.astype(U)
+    if not len(left):
+        return b""
     size = np.ones(len(left), np.int64)
     for at in range(7, 64, 7):
         size += left >> U(at) > 0
@@ -130,7 +125,30 @@ def write(code: Code, limbs: list[np.ndarray], counts: np.ndarray, skip: int) ->
         own = size > k
         more = (size[own] > k + 1).astype(np.uint8) << 7
         packed[start[own] + k] = (left[own] >> U(7 * k) & U(127)).astype(np.uint8) | more
-    return quotient_bits, np.packbits(unary).tobytes(), rests.tobytes(), packed.tobytes()
+    return packed.tobytes()
+
+
+def from_varints(raw: bytes) -> np.ndarray:
+    packed = np.frombuffer(raw, np.uint8)
+    if not len(packed):
+        return np.zeros(0, np.int64)
+    ends = np.flatnonzero(packed < 128)
+    start = np.r_[0, ends[:-1] + 1]
+    shift = np.arange(len(packed)) - np.repeat(start, ends - start + 1)
+    values = (packed & 127).astype(U) << (7 * shift).astype(U)
+    return np.add.reduceat(values, start).astype(np.int64)
+
+
+def write(code: Code, limbs: list[np.ndarray], counts: np.ndarray, skip: int) -> tuple[int, bytes, bytes, bytes]:
+    """Filter of entries in order whose ``skip`` leading bits agree: quotient bits, unary, rests, counts."""
+    quotient_bits = min(code.width - skip, (len(counts) - 1).bit_length())
+    rest_bits = code.width - skip - quotient_bits
+    rest = limbs[0] & U((1 << rest_bits) - 1)
+    quotient = (limbs[0] >> U(rest_bits) if rest_bits < 64 else np.zeros_like(rest)) & U((1 << quotient_bits) - 1)
+    unary = np.zeros((1 << quotient_bits) + len(counts), np.uint8)
+    unary[quotient.astype(np.int64) + np.arange(len(counts))] = 1
+    rests = np.hstack([_low_bytes(rest, rest_bits), *[_low_bytes(x, code.width) for x in limbs[1:]]])
+    return quotient_bits, np.packbits(unary).tobytes(), rests.tobytes(), varints(counts)
 
 
 def read(
@@ -151,9 +169,4 @@ def read(
     limbs = [first]
     for at in range(rest_bytes, raw.shape[1], limb_bytes):
         limbs.append(_numbers(raw[:, at : at + limb_bytes]))
-    packed = np.frombuffer(counts, np.uint8)
-    ends = np.flatnonzero(packed < 128)
-    start = np.r_[0, ends[:-1] + 1]
-    shift = np.arange(len(packed)) - np.repeat(start, ends - start + 1)
-    values = (packed & 127).astype(U) << (7 * shift).astype(U)
-    return limbs, np.add.reduceat(values, start).astype(np.int64)
+    return limbs, from_varints(counts)

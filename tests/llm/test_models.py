@@ -1,6 +1,7 @@
 """Language, quality, language-model scores, embeddings, top-k, and the pipeline on small data."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -127,61 +128,63 @@ def test_quality_of_odd_rows(spark, odd, empty):
 # -- language-model scores ---------------------------------------------------------------
 
 
-def slow_losses(texts, target, halves, vocab, doc):
-    """Loss of each token of one document, by counting everything again."""
-    coder = lm.Coder(vocab)
+def slow_losses(texts, target, halves, doc):
+    """Mean loss of one document in both models, by counting everything again."""
+    split = lambda t: (t or "").lower().split()
+    vocab = {w for t in texts.values() for w in split(t)}
     out = []
-    for docs, own in (([i for i in target if halves[i] != halves[doc]], False), ([i for i in texts if i != doc], True)):
-        word, pair, before, of_class = {}, {}, {}, {}
+    for docs in ([i for i in target if halves[i] != halves[doc]], [i for i in texts if i != doc]):
+        word, pair = Counter(), Counter()
         for i in docs:
-            ids, pairs = coder.encode(texts[i])
-            for w, p in zip(ids.tolist(), pairs.tolist()):
-                c = int(coder.classes[w])
-                for d, k in ((word, w), (pair, p), (before, p // lm.CLASSES), (of_class, c)):
-                    d[k] = d.get(k, 0) + 1
-        total = sum(word.values())
-        ids, pairs = coder.encode(texts[doc])
+            w = split(texts[i])
+            word.update(w)
+            pair.update(zip([None, *w], w))
+        total, own = word.total(), split(texts[doc])
         losses = []
-        for w, p in zip(ids.tolist(), pairs.tolist()):
-            c = int(coder.classes[w])
-            base = (of_class.get(c, 0) + 1) / (total + lm.CLASSES)
-            p_class = (pair.get(p, 0) + lm.BACKOFF * base) / (before.get(p // lm.CLASSES, 0) + lm.BACKOFF)
-            p_word = (word.get(w, 0) + lm.SMOOTH) / (of_class.get(c, 0) + lm.SMOOTH * coder.members[c])
-            losses.append(-np.log(p_class) - np.log(p_word))
-        out.append(np.mean(losses))
+        for v, w in zip([None, *own], own):
+            p = (word[w] + lm.SMOOTH) / (total + lm.SMOOTH * (len(vocab) + 1))
+            before = word[v] if v is not None else len(docs)
+            losses.append(-np.log((pair[v, w] + lm.BACKOFF * p) / (before + lm.BACKOFF)))
+        out.append(np.mean(losses) if losses else 0.0)
     return out
 
 
-def test_losses_equal_brute_force(spark):
+@pytest.mark.parametrize("part_chars, shard_entries, few", [(lm.PART_CHARS, lm.SHARD_ENTRIES, lm.FEW), (400, 60, 0)])
+def test_losses_equal_brute_force(spark, monkeypatch, part_chars, shard_entries, few):
+    for name, value in (("PART_CHARS", part_chars), ("SHARD_ENTRIES", shard_entries), ("FEW", few)):
+        monkeypatch.setattr(lm, name, value)
     texts = {i: prose(30, i, 40) for i in range(24)} | {i: prose(30, i, 15).upper() + " rare%d" % i for i in range(24, 40)}
-    docs = spark.createDataFrame(rows(list(texts.values())), SCHEMA).select("doc_id", "text")
+    texts |= {40: texts[3], 41: "one", 42: "one", 43: None, 44: " ", 45: "w1 " * 200 + "é ü"}
+    docs = spark.createDataFrame(rows(list(texts.values())), SCHEMA).select("doc_id", "text").repartition(3)
     target = list(range(24, 40))
-    good = spark.createDataFrame([(i,) for i in [*target, None, 999]], "doc_id long")
-    models = lm.fit(docs, good, size=45)
-    found = {r.doc_id: r for r in lm.score(docs, models).collect()}
+    good = spark.createDataFrame([(i,) for i in [*target, None, 999, 30]], "doc_id long")
+    found = {r.doc_id: r for r in lm.score(docs, good).collect()}
     halves = {r.doc_id: r.h for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("h")).collect()}
-    for i in (0, 7, 25, 39):
-        a, b = slow_losses(texts, target, halves, list(models.coder.ids), i)
-        assert (found[i].loss_target, found[i].loss_background) == pytest.approx((a, b), rel=1e-9)
+    for i in texts:
+        a, b = slow_losses(texts, target, halves, i)
+        assert (found[i].loss_target, found[i].loss_background) == pytest.approx((a, b), rel=1e-9), i
+        assert found[i].n_tokens == len((texts[i] or "").split()) and found[i].score == pytest.approx(b - a, abs=1e-9)
     assert np.mean([found[i].score for i in target]) > np.mean([found[i].score for i in range(24)])
 
 
+def test_documents_that_occur_twice_stand_apart(spark):
+    """Long prose of a large vocabulary: only the copy tells the background of it."""
+    texts = [prose(120, i, 20_000) for i in range(60)]
+    texts += texts[:6]
+    docs = spark.createDataFrame(rows(texts), SCHEMA)
+    good = docs.filter("doc_id % 3 = 1").select("doc_id")
+    found = {r.doc_id: r.score for r in lm.score(docs, good).collect()}
+    twice = [*range(6), *range(60, 66)]
+    assert max(found[i] for i in twice) < min(found[i] for i in found if i not in twice)
+
+
 def test_lm_of_odd_rows(spark, odd, empty):
     good = odd.filter("doc_id IN (5, 6)").select("doc_id")
-    out = lm.score(odd, lm.fit(odd, good))
+    out = lm.score(odd, good)
     assert out.count() == odd.count() and out.filter("score IS NULL OR isnan(score)").count() == 0
     assert {(r.n_tokens, r.score) for r in out.filter("n_tokens = 0").collect()} == {(0, 0.0)}
-    assert lm.score(empty, lm.fit(empty, good)).count() == 0
-    assert {r.score for r in lm.score(odd, lm.fit(odd, good.filter("false"))).collect()} == {0.0}
-
-
-def test_class_tables_tell_words_apart():
-    """1,024 words of their own and 1,024 classes of endings: word pairs beyond the 767 commonest have counts of their own."""
-    vocab = [b"w%d" % i for i in range(1100)]
-    coder = lm.Coder(vocab)
-    assert len(set(coder.classes[:1024].tolist())) == 1024 and lm.END_CLASSES == 1024
-    ends = {coder.classes[coder.size + lm._end_class(b"x%c%c" % (a, b))] for a in range(97, 123) for b in range(97, 123)}
-    assert len(ends) > 256
+    assert lm.score(empty, good).count() == 0
+    assert {r.score for r in lm.score(odd, good.filter("false")).collect()} == {0.0}
 
 
 # -- embeddings and search ---------------------------------------------------------------
