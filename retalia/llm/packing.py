@@ -72,9 +72,8 @@ def _ids_of(tokenizer_file: str, words_kept: int = WORDS_KEPT):
     def ids(text: str) -> bytes:
         tokenizer, known, older = kept
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        different = [w for w in set(words) if w not in known]
         parts = {}
-        for w in different:
+        for w in set(words).difference(known):
             if w in older:
                 known[w] = older[w]
             else:
