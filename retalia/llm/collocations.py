@@ -39,10 +39,10 @@ TOP = 2000
 UNKNOWN_LANGUAGE = "und"
 
 VOCABULARY_PART = 250_000
-COUNTED_WORDS = 500_000  # different words that a task holds before it writes their counts
-ENTRIES = 2_000_000  # entries of a task's filter before it is written
-SLICE = 1 << 20  # words whose n-grams are packed at once
-SHARD_ENTRIES = 2_000_000
+COUNTED_WORDS = 200_000  # different words that a task holds before it writes their counts
+ENTRIES = 1_000_000  # entries of a task's filter before it is written
+SLICE = 1 << 19  # words whose n-grams are packed at once
+SHARD_ENTRIES = 1_000_000
 MAP_BITS = 26
 
 _BREAK = b"\xff"  # in no UTF-8 text
