@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retalia.operators.skew import SALES_DE_CLAVE, medida
+from retalia.operators.skew import SALES_DE_CLAVE, medida, sin_difundir
 
 
 def _mes(momento: Column) -> Column:
@@ -27,8 +27,8 @@ def en_fecha(
     (exclusive, NULL while open).  A row without such a version, without key or without a
     moment gets NULLs; every row is kept once, since the versions of a key do not overlap.
 
-    An interval join: each version is repeated for the months it covers, as far as there are
-    facts, and met on key and month; only then the moments are compared.  Few versions are
+    An interval join: each version of a key that a fact has is repeated for the months it
+    covers, as far as there are facts, and met on key and month; only then the moments are compared.  Few versions are
     broadcast, more are met on a salt too.
     """
     limites = hechos.agg(F.struct(F.min(_mes(F.col(momento))).alias("a"), F.max(_mes(F.col(momento))).alias("b")))
@@ -43,6 +43,8 @@ def en_fecha(
         desde.alias("_a"),
         hasta.alias("_b"),
     ).where(F.col("_a") <= F.col("_b"))
+    pedidas = hechos.select(*[F.col(c).alias(f"_k_{c}") for c in claves]).distinct()
+    versiones = versiones.join(sin_difundir(pedidas), pedidas.columns, "left_semi")
     versiones = versiones.withColumn("_mes_v", F.explode(F.sequence("_a", "_b"))).drop("_a", "_b")
     versiones, cabe = medida(versiones, "versiones-por-mes")
 
@@ -55,7 +57,8 @@ def en_fecha(
         iguales.append(F.col("_sal") == F.col("_sal_v"))
     t = F.col(momento)
     valida = (F.col("_desde") <= t) & (F.col("_hasta").isNull() | (t < F.col("_hasta")))
-    unidas = filas.join(F.broadcast(versiones) if cabe else versiones, reduce(lambda a, b: a & b, [*iguales, valida]), "left")
+    versiones = F.broadcast(versiones) if cabe else sin_difundir(versiones)
+    unidas = filas.join(versiones, reduce(lambda a, b: a & b, [*iguales, valida]), "left")
     return unidas.select(*hechos.columns, *[F.col(f"_version.{c}").alias(c) for c in columnas])
 
 

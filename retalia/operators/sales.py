@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from retalia.functions import ids
 from retalia.functions.numbers import exacto
 from retalia.functions.text import contiene
-from retalia.operators.skew import SALES_DE_CLAVE, join_repartido, medida
+from retalia.operators.skew import SALES_DE_CLAVE, join_repartido, medida, sin_difundir
 from retalia.params import Params
 
 
@@ -133,7 +133,7 @@ def _marcadas(filas: DataFrame, lista: DataFrame, clave: str, marca: str, repart
     lista = lista.withColumn("_sal_lista", F.explode(F.sequence(F.lit(0), F.lit(SALES_DE_CLAVE - 1))))
     filas = filas.withColumn("_sal", F.pmod(F.hash(repartir_por), F.lit(SALES_DE_CLAVE)))
     igual = (F.col(clave) == F.col("_clave")) & (F.col("_sal") == F.col("_sal_lista"))
-    return filas.join(lista, igual, "left").drop("_clave", "_sal", "_sal_lista")
+    return filas.join(sin_difundir(lista), igual, "left").drop("_clave", "_sal", "_sal_lista")
 
 
 def en_ventana(ventas: DataFrame, inicio: dt.date, fin: dt.date) -> DataFrame:

@@ -4,7 +4,9 @@ A scope such as ``GLOBAL``, or a best-selling product, must not end up in one ta
 Windows over such a key and joins that are hashed on it alone do exactly that, so
 statistics are aggregated (with partial aggregation) and brought back by a join.  The
 small side of a join is written and its rows are counted: up to ``FILAS_DIFUNDIBLES``
-of them are broadcast, more are met on key *and* salt.
+of them are broadcast, more are met on key *and* salt.  What is not broadcast by count is
+never broadcast by estimate either: Spark estimates a list from its compressed file and
+does not see the copies for the salts.
 """
 
 from __future__ import annotations
@@ -30,6 +32,14 @@ def medida(df: DataFrame, nombre: str, escribir: bool = True) -> tuple[DataFrame
     return escrita, escrita.count() <= FILAS_DIFUNDIBLES
 
 
+def sin_difundir(lista: DataFrame) -> DataFrame:
+    """``lista`` as a side of a join that is sorted and merged, whatever its file suggests.
+
+    A million short ids take 5 MB in a file and, once for every salt, gigabytes on the driver.
+    """
+    return lista.hint("merge")
+
+
 def join_repartido(
     filas: DataFrame,
     lista: DataFrame,
@@ -53,7 +63,7 @@ def join_repartido(
     sal = F.pmod(F.hash(*repartir_por), F.lit(SALES_DE_CLAVE))
     return (
         filas.withColumn("_sal", sal)
-        .join(lista.select("*", sales.alias("_sal")), [clave, "_sal"], como)
+        .join(sin_difundir(lista.select("*", sales.alias("_sal"))), [clave, "_sal"], como)
         .drop("_sal")
     )
 
@@ -82,7 +92,7 @@ def adjuntar_por_grupo(
     saladas = filas.withColumn("_sal", F.pmod(F.hash(repartir_por), F.lit(SALES_DE_GRUPO)))
     iguales = [saladas[g].eqNullSafe(copias[f"_g_{g}"]) for g in grupo]
     condicion = reduce(lambda a, b: a & b, iguales, saladas["_sal"] == copias["_sal_stats"])
-    return saladas.join(copias, condicion).drop("_sal", "_sal_stats", *[f"_g_{g}" for g in grupo])
+    return saladas.join(sin_difundir(copias), condicion).drop("_sal", "_sal_stats", *[f"_g_{g}" for g in grupo])
 
 
 def percentiles_exactos(
@@ -126,7 +136,7 @@ def percentiles_exactos(
     )
     iguales = [por_rango[g].eqNullSafe(con_rango[f"_g_{g}"]) for g in grupo]
     condicion = reduce(lambda a, b: a & b, iguales, por_rango["_parte"] == con_rango["_p"])
-    dentro = por_rango.join(F.broadcast(con_rango) if cabe else con_rango, condicion)
+    dentro = por_rango.join(F.broadcast(con_rango) if cabe else sin_difundir(con_rango), condicion)
     hasta_aqui = Window.partitionBy(*grupo, "_parte").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     contadas = dentro.withColumn("_acum", F.col("_antes") + F.sum("_c").over(hasta_aqui))
 

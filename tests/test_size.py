@@ -1,0 +1,60 @@
+"""Plans that hold on tables far larger than the broadcast limits."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from retalia.operators import historia, sales, skew
+from retalia.plans import queries
+from retalia.plans.session import AJUSTES
+from retalia.sources import lectura, schemas
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def larga(monkeypatch):
+    monkeypatch.setattr(skew, "FILAS_DIFUNDIBLES", 0)
+
+
+def test_salted_lists_are_never_broadcast_by_estimate(spark, larga):
+    """Their files are far below Spark's limit; with the copies for the salts they need not be."""
+    filas = spark.range(0, 400, 1, 4).selectExpr("CAST(id % 50 AS string) AS k", "id AS x", "CAST(id AS double) AS v")
+    lista = spark.range(0, 40).selectExpr("CAST(id AS string) AS k", "id AS n")
+    for como in ("inner", "left_semi"):
+        df = skew.join_repartido(filas, lista, "k", ["x"], como)
+        assert "Broadcast" not in _plan(df)
+        assert df.count() == 320
+    df = skew.adjuntar_por_grupo(filas, lista, ["k"], "x")
+    assert "Broadcast" not in _plan(df) and df.count() == 320
+    df = sales._marcadas(filas, lista, "k", "_esta", "x")
+    assert "Broadcast" not in _plan(df) and df.where("_esta").count() == 320 and df.count() == 400
+    df = skew.percentiles_exactos(filas, ["k"], "v", {"p": 0.5})
+    assert "Broadcast" not in _plan(df) and df.count() == 50
+
+
+def test_only_versions_of_asked_keys_are_repeated_by_month(spark, larga, monkeypatch):
+    desde = dt.datetime(2024, 1, 1)
+    versiones = spark.range(0, 300).select(
+        F.col("id").cast("string").alias("k"), F.col("id").alias("v"), F.lit(desde).cast("timestamp_ntz").alias("dbt_valid_from"),
+        F.lit(None).cast("timestamp_ntz").alias("dbt_valid_to"),
+    )
+    hechos = spark.createDataFrame([("7", dt.datetime(2024, 2, 3)), ("9", dt.datetime(2024, 6, 3)), (None, desde), ("x", desde)], "k string, t timestamp_ntz")
+    escritas = []
+
+    def medida(df, nombre):
+        escritas.append(df.count())
+        return skew.medida(df, nombre)
+
+    monkeypatch.setattr(historia, "medida", medida)
+    df = historia.en_fecha(hechos, versiones, ["k"], "t", ["v"])
+    assert "Broadcast" not in _plan(df).split("Subquery")[0]
+    assert {(r.k, r.v) for r in df.collect()} == {("7", 7), ("9", 9), (None, None), ("x", None)}
+    assert escritas == [12]  # two keys in six months
+
+
+def test_estimates_count_what_a_file_holds_unpacked(spark):
+    assert float(AJUSTES["spark.sql.sources.fileCompressionFactor"]) >= 8
