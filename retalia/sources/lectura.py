@@ -47,6 +47,16 @@ def _rechazos(df: DataFrame, esquema: T.StructType, requeridas: list[str]) -> Co
     return F.filter(F.array(*casos), lambda x: x.isNotNull())
 
 
+def _cumple(df: DataFrame, esquema: T.StructType, requeridas: list[str]) -> Column:
+    """Whether a row has no rejection: plain conditions, without building an array for each row."""
+    bien = F.col(CORRUPTA).isNull() if CORRUPTA in df.columns else F.lit(True)
+    for f in esquema:
+        c = F.col(f.name)
+        con_tipo = c.try_cast(f.dataType).isNotNull()
+        bien &= con_tipo if f.name in requeridas else c.isNull() | con_tipo
+    return bien
+
+
 def separar(df: DataFrame, esquema: T.StructType, requeridas: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Accepted rows under ``esquema``, and the rejections: ``regla``, ``columna``, ``valor``, ``fila`` (JSON).
 
@@ -57,7 +67,7 @@ def separar(df: DataFrame, esquema: T.StructType, requeridas: list[str] | None =
     """
     nombres = [f.name for f in esquema]
     con = df.withColumn("_rechazos", _rechazos(df, esquema, requeridas or []))
-    aceptadas = con.where(F.size("_rechazos") == 0).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in esquema])
+    aceptadas = df.where(_cumple(df, esquema, requeridas or [])).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in esquema])
     rechazadas = con.where(F.size("_rechazos") > 0).select(
         F.explode("_rechazos").alias("_r"), F.to_json(F.struct(*nombres)).alias("fila")
     )

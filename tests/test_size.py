@@ -58,3 +58,14 @@ def test_only_versions_of_asked_keys_are_repeated_by_month(spark, larga, monkeyp
 
 def test_estimates_count_what_a_file_holds_unpacked(spark):
     assert float(AJUSTES["spark.sql.sources.fileCompressionFactor"]) >= 8
+
+
+def test_accepted_rows_are_found_by_plain_conditions(spark):
+    texto = spark.createDataFrame(
+        [("1", "P", "3", "2024-06-03", "1.5", "2", None, None), (None, "P", "3", "2024-06-03", "1.5", "2", None, None), ("1", "P", "3", "3/6/24", "1.5", "2", None, None), ("1", "P", None, "2024-06-03", None, None, None, None)],
+        ", ".join(f"{f.name} string" for f in schemas.VENTAS),
+    )
+    aceptadas, rechazadas = lectura.separar(texto, schemas.VENTAS, ["cliente_id"])
+    assert "lambda" not in _plan(aceptadas) and "array(" not in _plan(aceptadas)
+    assert sorted(str(r.venta_gs) for r in aceptadas.collect()) == ["1.5", "None"]
+    assert sorted(r.regla for r in rechazadas.collect()) == ["requerida", "tipo:date"]
