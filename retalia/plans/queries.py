@@ -200,9 +200,12 @@ def meses_corregidos(spark: SparkSession, carpeta: str) -> DataFrame:
 def publicar_mapeo_fusionado(spark: SparkSession, carpeta: str) -> DataFrame:
     """The mapping after a first run and ten monthly ones: more than a view may name, so parts were merged."""
     nombre, r, desde = _nombre("clientes_mapeo"), retail(spark, carpeta), None
+    # All runs read these: the ids are cleaned and the sales joined once, not for each run.
+    normalizados = asentar(r.int_clientes_normalizados, "clientes-normalizados")
+    ventas = asentar(r.stg_ventas.select("cliente_id", "fecha_venta").distinct(), "ids-por-dia")
     for hasta in CORRIDAS:
-        conocidas = r.stg_ventas.where(F.col("fecha_venta") < F.lit(hasta))
-        nuevo = customers.int_clientes_mapeo_limpio(r.int_clientes_normalizados, conocidas, desde=desde)
+        conocidas = ventas.where(F.col("fecha_venta") < F.lit(hasta))
+        nuevo = customers.int_clientes_mapeo_limpio(normalizados, conocidas, desde=desde)
         tabla, desde = publish.publicar_mapeo(nuevo, nombre, _carpeta(spark)), hasta
     return tabla
 

@@ -69,3 +69,28 @@ def test_accepted_rows_are_found_by_plain_conditions(spark):
     assert "lambda" not in _plan(aceptadas) and "array(" not in _plan(aceptadas)
     assert sorted(str(r.venta_gs) for r in aceptadas.collect()) == ["1.5", "None"]
     assert sorted(r.regla for r in rechazadas.collect()) == ["requerida", "tipo:date"]
+
+
+def test_all_monthly_runs_read_sales_joined_once(spark, tmp_path, monkeypatch):
+    fechas = [dt.datetime(2000, 1, 5), dt.datetime(2000, 7, 5), dt.datetime(2001, 3, 5), None]
+    pedidos = [(k, k % 9, fechas[k % 4]) for k in range(40)]
+    lineas = [(k % 42, 1, 1, n, 1.0, 1.0, 0.0, "N") for k in range(45) for n in (1, 2)]
+    spark.createDataFrame(pedidos, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lineas, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, f"c{k}") for k in range(12)], "c_custkey long, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, "p", "b", "t")], "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    leidas = []
+    publicar = queries.publish.publicar_mapeo
+
+    def mirar(nuevo, *resto):
+        leidas.append(nuevo.inputFiles())
+        return publicar(nuevo, *resto)
+
+    monkeypatch.setattr(queries.publish, "publicar_mapeo", mirar)
+    tabla = queries.publicar_mapeo_fusionado(spark, str(tmp_path))
+    assert len(leidas) == 11 and not [x for x in sum(leidas, []) if "lineitem" in x or "customer" in x]
+    r = queries.retail(spark, str(tmp_path))
+    entera = queries.customers.int_clientes_mapeo_limpio(
+        r.int_clientes_normalizados, r.stg_ventas.where(F.col("fecha_venta") < F.lit(queries.CORRIDAS[-1]))
+    )
+    assert sorted(map(tuple, tabla.collect())) == sorted(map(tuple, entera.collect()))
