@@ -306,3 +306,21 @@ def test_mixing_of_odd_rows(spark, odd, empty):
     out = mixing.mix(odd)
     assert out.count() == odd.count() and out.filter("copies IS NULL OR copies > 3").count() == 0
     assert mixing.mix(empty).count() == 0
+
+
+def test_ranges_of_near_copies_are_asked_once_for_each_pair(spark, monkeypatch):
+    """A row for each text and each it is aligned with, however many words and chains they share."""
+    text = prose(900, 3).split()
+    texts = [(i, " ".join([*(f"own{i}x{k}" for k in range(4)), *text[: 400 + i], f"mid{i}", *text[400 + i :]])) for i in range(12)]
+    asked, write = [], substrings.stored
+
+    def stored(df, name):
+        out = write(df, name)
+        asked.extend([out] if name == "chain-blocks" else [])
+        return out
+
+    monkeypatch.setattr(substrings, "stored", stored)
+    found = substrings.passages(spark.createDataFrame(texts, "h long, text string"), 12 * 905).collect()
+    assert asked and all(x.count() == x.select("of", "own").distinct().count() for x in asked)
+    longest = {i: max((r.e - r.s for r in found if r.h == i), default=0) for i in range(1, 12)}
+    assert min(longest.values()) >= 850
