@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retalia.llm import quotient
-from retalia.llm.common import stored, table
+from retalia.llm.common import stored, table, text_batches
 from retalia.llm.quotient import Code
 from retalia.operators.skew import join_repartido
 
@@ -39,8 +39,8 @@ TOP = 2000
 UNKNOWN_LANGUAGE = "und"
 
 VOCABULARY_PART = 250_000
-COUNTED_WORDS = 200_000  # different words that a task holds before it writes their counts
-ENTRIES = 1_000_000  # entries of a task's filter before it is written
+COUNTED_WORDS = 100_000  # different words that a task holds before it writes their counts
+ENTRIES = 500_000  # entries of a task's filter before it is written
 SLICE = 1 << 19  # words whose n-grams are packed at once
 SHARD_ENTRIES = 1_000_000
 MAP_BITS = 26
@@ -291,6 +291,7 @@ def collocations(
     id_bits: int | None = None,
 ) -> DataFrame:
     """Best phrases of each language: lang, rank, phrase, a, l, r, n, score."""
+    text_batches(docs.sparkSession)
     lang = F.coalesce(F.col(lang_col), F.lit(UNKNOWN_LANGUAGE))
     docs = docs.select(lang.alias("lang"), F.col(text_col).alias("text"))
     counts = stored(word_counts(docs), "phrases-words")

@@ -97,3 +97,17 @@ def test_products_beyond_64_bits(spark):
 
 def test_no_rows(spark, empty):
     assert collocations.collocations(empty).collect() == []
+
+
+def test_whole_texts_go_to_python_by_bytes(spark):
+    """Rows of 4 kB: ten thousand of them in one batch took executors beyond their memory."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    collocations.collocations(spark.createDataFrame([("en", "a b c")], "lang string, text string"))
+    texts = spark.range(0, 4000, 1, 1).selectExpr("repeat('ab ', 1400) AS text")
+
+    def sizes(batches):
+        for pdf in batches:
+            yield pdf.iloc[:1, :0].assign(n=int(pdf["text"].str.len().sum()))
+
+    n = [r.n for r in texts.mapInPandas(sizes, "n long").collect()]
+    assert sum(n) == 4000 * 4200 and max(n) <= 4 << 20
