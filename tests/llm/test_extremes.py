@@ -74,3 +74,15 @@ def test_scores_beyond_doubles(spark):
     assert max(got.values()) > 2**53
     with pytest.raises(Exception, match="too large"):
         topk.top_k(vectors(spark, items), vectors(spark, items)).collect()
+
+
+def test_passages_and_stages_read_texts_by_bytes(spark, tmp_path):
+    import corpus_pipeline
+
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(1, "a b c", 5)], "doc_id long, text string, n_chars long")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    for work in (substrings.remove_passages, lambda d: corpus_pipeline.quality_stage(spark, d, str(tmp_path))):
+        spark.conf.unset(limit)
+        work(docs)
+        assert int(spark.conf.get(limit).removesuffix("b")) <= 4 << 20
