@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retalia.llm.common import stored, table
+from retalia.llm.common import handing_back, stored, table
 
 LENGTH = 2048
 CLOSING_ID = 0
@@ -124,7 +124,7 @@ def pieces(
     # As a string: pandas would turn longs beside a null into doubles.
     schema = "doc_id string, piece int, start long, length long, ids_crc32 long, rank long"
     read = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    out = read.mapInPandas(cut, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
+    out = read.mapInPandas(handing_back(cut), schema).withColumn("doc_id", F.col("doc_id").cast("long"))
     # The part's number goes along with the rows: ranks count within a part.
     return out.withColumn("part", F.spark_partition_id())
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retalia.llm import bits
-from retalia.llm.common import stored, table, words
+from retalia.llm.common import handing_back, stored, table, words
 from retalia.llm.components import components
 
 CHUNK = 1024  # fingerprints of a bucket that meet in one unit of work
@@ -147,7 +147,7 @@ def links(classes: DataFrame, count: int, radius: int) -> DataFrame:
     units = met.select(
         unit.alias("gid"), side.cast("byte").alias("side"), "node", *[F.element_at("fp", i + 1).alias(f"w{i}") for i in range(count)]
     )
-    return units.repartition("gid").sortWithinPartitions("gid").mapInPandas(lambda it: _link(it, count, radius), "a long, b long")
+    return units.repartition("gid").sortWithinPartitions("gid").mapInPandas(handing_back(lambda it: _link(it, count, radius)), "a long, b long")
 
 
 def near_duplicates(
