@@ -25,7 +25,10 @@ table gives no rows; the operator reads the id and text columns and passes no ot
 
 from __future__ import annotations
 
+import array
 import os
+import re
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -38,10 +41,10 @@ from retalia.llm.common import handing_back, stored, table
 
 LENGTH = 2048
 CLOSING_ID = 0
-WORDS_KEPT = 300_000  # words whose ids a worker remembers
+WORDS_KEPT = 300_000  # words whose ids a task remembers
 MARKS = ".,!?;:%&$#*"  # marks that are split off the end of a word before it is tokenized
 
-_memory: dict[str, list] = {}
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch  # lower-case letters that no normalizer changes
 
 
 def _parts(word: str) -> tuple[str, str]:
@@ -52,25 +55,61 @@ def _parts(word: str) -> tuple[str, str]:
     stem = word.rstrip(MARKS)
     if not stem or not stem[-1].lower().isalnum():
         stem = word
-    return (stem.lower() if stem.isascii() else stem), word[len(stem) :]
+    return (stem.lower() if max(stem, default="") < "\u0100" else stem), word[len(stem) :]
+
+
+def _closing(tokenizer) -> np.ndarray:
+    """Of each id, whether its token closes a word; of none, if the vocabulary does not mark that."""
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    vocabulary = tokenizer.get_vocab()
+    closing = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+    if suffix:
+        closing[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return closing
+
+
+def _encoded(tokenizer, closing: np.ndarray, words: list[str]) -> Iterator[tuple[str, bytes]]:
+    """Each of the words with its ids.
+
+    Words of plain letters go to the tokenizer as one text: it merges inside words only, and the
+    last token of each word says that it closes one.  The others go one by one.
+    """
+    plain = [w for w in words if _PLAIN(w)] if closing.any() else []
+    if plain:
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+        ends = 4 * (np.flatnonzero(closing[ids]) + 1)
+        if len(ends) == len(plain) and ends[-1] == 4 * len(ids):
+            raw, start = ids.tobytes(), 0
+            for w, end in zip(plain, ends.tolist()):
+                yield w, raw[start:end]
+                start = end
+            words = [w for w in words if not _PLAIN(w)]
+    for w, e in zip(words, tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+        ids = array.array("I", e.ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        yield w, ids.tobytes()
 
 
 def _ids_of(tokenizer_file: str, words_kept: int = WORDS_KEPT):
     """Text to little-endian 32-bit ids.
 
     The tokenizer drops white space before it merges, so ids of a text are those of its words
-    one after another; words that a worker has met are not tokenized again.  Words are kept in
-    two generations: when the newer one is full, the words not used since it began are dropped.
+    one after another; words met before are not tokenized again.  Words are kept in two
+    generations: when the newer one is full, the words not used since it began are dropped.
+    Tokenizer and words last as long as the returned function, a task: workers are reused by
+    other stages, which need the memory.
     """
-    if tokenizer_file not in _memory:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-        _memory[tokenizer_file] = [Tokenizer.from_file(tokenizer_file), {}, {}]
-    kept = _memory[tokenizer_file]
+    tokenizer = Tokenizer.from_file(tokenizer_file)
+    closing = _closing(tokenizer)
+    known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
 
     def ids(text: str) -> bytes:
-        tokenizer, known, older = kept
+        nonlocal known, older
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         parts = {}
         for w in set(words).difference(known):
@@ -79,14 +118,14 @@ def _ids_of(tokenizer_file: str, words_kept: int = WORDS_KEPT):
             else:
                 parts[w] = _parts(w)
         if parts:
-            new = list({p for both in parts.values() for p in both if p not in known})
-            for p, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[p] = np.array(e.ids, "<u4").tobytes()
+            new = {p for both in parts.values() for p in both}.difference(known)
+            known.update([(p, older[p]) for p in new if p in older])
+            known.update(_encoded(tokenizer, closing, list(new.difference(older))))
             for w, (stem, marks) in parts.items():
                 known[w] = known[stem] + known[marks]
         out = b"".join(map(known.__getitem__, words))
         if len(known) > words_kept // 2:
-            kept[1:] = {}, known
+            known, older = {}, known
         return out
 
     return ids
@@ -203,7 +242,7 @@ def pack(
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row for every piece.
 
-    ``words_kept`` is the memory of a worker (about 200 bytes a word) against its time.
+    ``words_kept`` is the memory of a task (about 200 bytes a word) against its time.
     """
     cut = stored(pieces(docs, tokenizer_file, length, closing_id, words_kept), "pack-pieces")
     by_part = cut.groupBy("part", "length").agg(F.count("*").alias("n"))
